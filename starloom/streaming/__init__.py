@@ -1,0 +1 @@
+"""Left empty on purpose: every source of the pipeline is a static file, so there is no streaming operator."""
