@@ -92,45 +92,41 @@ def assign(model: KMeansModel, matrix: DataFrame) -> DataFrame:
     return model.transform(vectors).drop("_vector")
 
 
-def _blocked_silhouette(points: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-    """Mean distances of one block of sample points to every cluster of the whole sample."""
-    x = np.asarray(points["features"].tolist(), dtype=float)
-    y = np.asarray(others["features"].tolist(), dtype=float)
+def _block_silhouette(sample: pd.DataFrame) -> pd.DataFrame:
+    """Silhouettes of the rows one block owns, against the whole sample."""
+    points = sample[sample["_own"]]
+    x = np.asarray(points["features"].tolist(), dtype=float).reshape(len(points), -1)
+    y = np.asarray(sample["features"].tolist(), dtype=float).reshape(len(sample), -1)
+    if not len(x):
+        return pd.DataFrame({"_id": [], "cluster": [], "silhouette": []})
     squares = (x**2).sum(1)[:, None] + (y**2).sum(1)[None, :] - 2.0 * x @ y.T
-    same = points["_id"].to_numpy()[:, None] == others["_id"].to_numpy()[None, :]
-    distance = np.sqrt(np.maximum(np.where(same, 0.0, squares), 0.0))
-    clusters, member = np.unique(others["cluster"].to_numpy(), return_inverse=True)
-    own = np.searchsorted(clusters, points["cluster"].to_numpy())
-    sizes = np.bincount(member, minlength=len(clusters))
-    sums = np.stack([distance[:, member == c].sum(axis=1) for c in range(len(clusters))], axis=1)
-    rows = np.arange(len(x))
+    squares[points["_id"].to_numpy()[:, None] == sample["_id"].to_numpy()[None, :]] = 0.0
+    distance = np.sqrt(np.maximum(squares, 0.0))
+    clusters, member = np.unique(sample["cluster"].to_numpy(), return_inverse=True)
+    sizes = np.bincount(member)
+    sums = distance @ (member[:, None] == np.arange(len(clusters))[None, :])
+    own, rows = np.searchsorted(clusters, points["cluster"].to_numpy()), np.arange(len(x))
     inner = sums[rows, own] / np.maximum(sizes[own] - 1, 1)
     means = sums / sizes
     means[rows, own] = np.inf
     outer = means.min(axis=1)
-    value = np.where(sizes[own] > 1, (outer - inner) / np.maximum(np.maximum(outer, inner), 1e-300), 0.0)
+    defined = (sizes[own] > 1) & np.isfinite(outer) & (np.maximum(inner, outer) > 0)
+    value = np.where(defined, (outer - inner) / np.where(defined, np.maximum(inner, outer), 1.0), 0.0)
     return pd.DataFrame({"_id": points["_id"], "cluster": points["cluster"], "silhouette": value})
 
 
 def silhouette_samples(labelled: DataFrame, key: str, n: int = 2000, seed: int = 42, blocks: int = 8) -> DataFrame:
     """Exact Euclidean silhouette of a seeded sample of at most n rows (the sampling is part of the measure).
 
-    The sample is cut into blocks; each task gets one block and a copy of the sample, so the distance matrix is
-    computed block by block and never joined or emitted.
+    Each of the blocks owns a part of the sample and gets a copy of all of it, so every task computes one block of
+    the distance matrix and no pair is ever joined or emitted.
     """
     source = labelled.select(F.col(key).cast("bigint").alias("_id"), F.col("cluster").cast("int"), "features")
     sample = sample_rows(source, "_id", n, seed)
-    points = sample.withColumn("_block", F.pmod("_id", F.lit(blocks)))
-    copies = sample.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-    paired = points.groupBy("_block").cogroup(copies.groupBy("_block"))
+    copies = sample.withColumn("_block", F.explode(F.array(*[F.lit(i) for i in range(blocks)])))
+    owned = copies.withColumn("_own", F.pmod("_id", F.lit(blocks)) == F.col("_block"))
     schema = "_id bigint, cluster int, silhouette double"
-
-    def block(p: pd.DataFrame, o: pd.DataFrame) -> pd.DataFrame:
-        if p.empty:
-            return pd.DataFrame({"_id": [], "cluster": [], "silhouette": []})
-        return _blocked_silhouette(p, o)
-
-    return paired.applyInPandas(block, schema).withColumnRenamed("_id", key)
+    return owned.groupBy("_block").applyInPandas(_block_silhouette, schema).withColumnRenamed("_id", key)
 
 
 def silhouette(labelled: DataFrame, key: str, n: int = 2000, seed: int = 42) -> DataFrame:

@@ -45,7 +45,9 @@ def read_star(spark: SparkSession, root: str, names: Sequence[str] = WAREHOUSE_T
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Interchange export; stages themselves exchange Parquet."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    # Spark trims values on writing unless told otherwise.
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def rules_as_text(rules: DataFrame, sep: str = ", ") -> DataFrame:
