@@ -63,8 +63,17 @@ FEATURE_LABELS = {
 }
 
 
-def literal_map(mapping: Mapping) -> Column:
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
+def _literal(value: str | int) -> str:
+    if isinstance(value, int):
+        return str(value)
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def literal_map(mapping: Mapping[str, str | int]) -> Column:
+    """Constant map, parsed in one call instead of one call per entry."""
+    entries = ", ".join(_literal(x) for x in chain.from_iterable(mapping.items()))
+    return F.expr(f"map({entries})")
 
 
 def lookup(c: Column | str, mapping: Mapping, default) -> Column:

@@ -19,9 +19,11 @@ from starloom.operators.ranking import best_by, share_of_selection
 from starloom.operators.sampling import split_rows, stratified_split
 from starloom.operators.scaling import unscaled, with_scaled_target
 from starloom.operators.sets import stack
-from starloom.session import materialize
+from starloom.session import materialize, spread
 
 SEED = 42
+# Node numbers are kept per row instead of walking every tree again, and a whole tree level fits into one pass.
+TREE_SETTINGS = {"cacheNodeIds": True, "maxMemoryInMB": 1024}
 
 
 @dataclass(frozen=True)
@@ -46,7 +48,7 @@ def classification_task(df: DataFrame, key: str = "job_id", target: str = "high_
     """Stratified 80/20 split of the classification frame."""
     frame = classification_frame(df, key, target)
     features = [c for c in frame.columns if c not in (key, target)]
-    return Task(materialize(stratified_split(frame, key, target, seed=SEED)), features, key, target)
+    return Task(spread(materialize(stratified_split(frame, key, target, seed=SEED))), features, key, target)
 
 
 def regression_task(df: DataFrame, key: str = "job_id", target: str = "salary_clean") -> Task:
@@ -54,7 +56,7 @@ def regression_task(df: DataFrame, key: str = "job_id", target: str = "salary_cl
     frame = regression_frame(df, key, target)
     features = [c for c in frame.columns if c not in (key, target)]
     scaled = with_scaled_target(materialize(frame), target)
-    return Task(materialize(split_rows(scaled, key, seed=SEED)), features, key, "target_scaled")
+    return Task(spread(materialize(split_rows(scaled, key, seed=SEED))), features, key, "target_scaled")
 
 
 def classifiers(n_train: int, names: Sequence[str] | None = None) -> dict:
@@ -63,8 +65,8 @@ def classifiers(n_train: int, names: Sequence[str] | None = None) -> dict:
         "Logistic Regression": LogisticRegression(
             maxIter=1000, regParam=1.0 / n_train, elasticNetParam=0.0, standardization=False
         ),
-        "Decision Tree": DecisionTreeClassifier(maxDepth=6, seed=SEED),
-        "Random Forest": RandomForestClassifier(numTrees=100, maxDepth=8, seed=SEED),
+        "Decision Tree": DecisionTreeClassifier(maxDepth=6, seed=SEED, **TREE_SETTINGS),
+        "Random Forest": RandomForestClassifier(numTrees=100, maxDepth=8, seed=SEED, **TREE_SETTINGS),
     }
     return {name: all_models[name] for name in names or all_models}
 
@@ -77,8 +79,10 @@ def regressors(n_train: int, target_deviation: float, names: Sequence[str] | Non
         "Ridge Regression": LinearRegression(
             solver="normal", regParam=ridge, elasticNetParam=0.0, standardization=False
         ),
-        "Random Forest": RandomForestRegressor(numTrees=100, maxDepth=10, featureSubsetStrategy="all", seed=SEED),
-        "Gradient Boosting": GBTRegressor(maxIter=100, maxDepth=4, stepSize=0.1, seed=SEED),
+        "Random Forest": RandomForestRegressor(
+            numTrees=100, maxDepth=10, featureSubsetStrategy="all", seed=SEED, **TREE_SETTINGS
+        ),
+        "Gradient Boosting": GBTRegressor(maxIter=100, maxDepth=4, stepSize=0.1, seed=SEED, maxMemoryInMB=1024),
     }
     return {name: all_models[name] for name in names or all_models}
 
@@ -101,8 +105,8 @@ def fit_regressors(task: Task, names: Sequence[str] | None = None) -> dict[str,
 
 
 def class_predictions(task: Task, models: Mapping[str, PipelineModel]) -> DataFrame:
-    """(model, key, actual, predicted, score) of the test rows under every model."""
-    return stack([
+    """(model, key, actual, predicted, score) of the test rows under every model, scored once and stored."""
+    return materialize(stack([
         model.transform(task.test).select(
             F.lit(name).alias("model"),
             task.key,
@@ -111,12 +115,12 @@ def class_predictions(task: Task, models: Mapping[str, PipelineModel]) -> DataFr
             vector_to_array("probability")[1].alias("score"),
         )
         for name, model in models.items()
-    ])
+    ]))
 
 
 def value_predictions(task: Task, models: Mapping[str, PipelineModel]) -> DataFrame:
-    """(model, key, actual, predicted) on [0, 1] plus both in target units."""
-    return stack([
+    """(model, key, actual, predicted) on [0, 1] plus both in target units, scored once and stored."""
+    return materialize(stack([
         model.transform(task.test).select(
             F.lit(name).alias("model"),
             task.key,
@@ -126,7 +130,7 @@ def value_predictions(task: Task, models: Mapping[str, PipelineModel]) -> DataFr
             unscaled("prediction").alias("predicted_value"),
         )
         for name, model in models.items()
-    ])
+    ]))
 
 
 def best_model(comparison: DataFrame, metric: str) -> str:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.aggregate import group_counts, top_values
+from starloom.operators.moments import cross_products
 
 
 def with_dimension(fact: DataFrame, dimension: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
@@ -27,17 +28,20 @@ def with_dimension(fact: DataFrame, dimension: DataFrame, key: str, attributes:
 def with_details(fact: DataFrame, details: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
     """Left join to a table that may repeat the key (fan-out kept); clashing names get the suffixes _x and _y.
 
-    Written as inner join plus the rows without a match: an inner join may be split on both sides, so a key that
-    holds most of the detail rows does not end in one task, as it would in a plain left join.
+    Keys without details get one detail row of NULLs first, so that an inner join gives the result of a left join.
+    Unlike a left join, an inner join may be split on both sides: a key that holds most of the detail rows does not
+    end in one task. Only the key column of the fact table is read for the extra rows.
     """
     if key not in fact.columns or key not in details.columns:
         return fact
     clash = [a for a in attributes if a in fact.columns]
     left = fact.withColumnsRenamed({a: f"{a}_x" for a in clash})
-    right = details.select(key, *attributes).withColumnsRenamed({a: f"{a}_y" for a in clash})
-    matched = left.join(right, key)
-    unmatched = left.join(right.select(key).distinct(), key, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    right = details.where(F.col(key).isNotNull()).select(key, *attributes)
+    right = right.withColumnsRenamed({a: f"{a}_y" for a in clash})
+    without = left.select(key).distinct().join(right.select(key).distinct(), key, "left_anti")
+    filled = right.unionByName(without, allowMissingColumns=True).withColumnRenamed(key, "_key")
+    # A fact row without a key has exactly one filler row to meet.
+    return left.join(filled, left[key].eqNullSafe(F.col("_key"))).drop("_key")
 
 
 def with_counts(fact: DataFrame, bridge: DataFrame, key: str, name: str) -> DataFrame:
@@ -71,25 +75,18 @@ def lookup_rows(keys: DataFrame, fact: DataFrame, key: str, attributes: Sequence
 def cooccurrence(bridge: DataFrame, key: str, item: str, k: int = 15) -> DataFrame:
     """Symmetric counts of item pairs that share a key, over the k most frequent items.
 
-    Each key is reduced to one row of k counters, and every pair count is a sum of products of two of them: no pair
-    of rows is ever built, so a key with very many rows costs no more than any other.
+    Each key is reduced to one row of k counters, and all pair counts are the cross products of these counters: no
+    pair of rows is ever built, so a key with very many rows costs no more than any other.
     """
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("order"), F.col(item).alias("item"))))
-    ranked = top_values(bridge, item, k).agg(ordered.alias("_top"))
-    names = ranked.select(F.transform("_top", lambda t: t["item"]).alias("names"))
+    names = top_values(bridge, item, k).agg(F.transform(ordered, lambda t: t["item"]).alias("names"))
     places = names.select(F.posexplode("names").alias("_place", item))
     counted = bridge.join(F.broadcast(places), item)
-    per_key = counted.groupBy(key).agg(
-        *[F.count_if(F.col("_place") == i).cast("bigint").alias(f"_m{i}") for i in range(k)]
+    counters = [f"_m{i}" for i in range(k)]
+    per_key = counted.groupBy(key).agg(*[F.expr(f"count_if(_place = {i})").alias(c) for i, c in enumerate(counters)])
+    pairs = cross_products(per_key, counters).where("i <> j and value > 0").withColumn("_names", names.scalar())
+    return pairs.select(
+        F.get("_names", F.col("i")).alias("item_a"),
+        F.get("_names", F.col("j")).alias("item_b"),
+        F.col("value").cast("bigint").alias("n"),
     )
-    pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
-    totals = per_key.agg(*[F.sum(F.col(f"_m{i}") * F.col(f"_m{j}")).alias(f"_p{i}_{j}") for i, j in pairs])
-    entries = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"_p{i}_{j}").alias("n"))
-        for i, j in pairs
-        for a, b in ((i, j), (j, i))
-    ]
-    long = totals.select(F.inline(F.array(*entries))).withColumn("_names", names.scalar())
-    return long.select(
-        F.get("_names", F.col("a")).alias("item_a"), F.get("_names", F.col("b")).alias("item_b"), "n"
-    ).where(F.col("item_b").isNotNull() & F.col("item_a").isNotNull() & (F.col("n") > 0))

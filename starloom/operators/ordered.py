@@ -30,11 +30,14 @@ def _per_group(by: Sequence[str]) -> WindowSpec:
     return Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str] = ()) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str] = (), few_groups: bool = False
+) -> DataFrame:
     """Linear-interpolated exact quantiles: one row per group with `n` and one column per named probability.
 
     Bucket counts locate the buckets that hold the wanted order statistics; only rows of those buckets are then
-    ranked, so neither memory nor a single task grows with the data.
+    ranked, so neither memory nor a single task grows with the data. `few_groups` promises a fixed list of groups;
+    the wanted buckets are then broadcast instead of leaving the choice to adaptive execution.
     """
     by = list(by)
     keys = [*by, "_bucket"]
@@ -58,8 +61,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Mapping[str, float], by: S
     ranks = [rank for q in probs.values() for rank in (F.floor(position(q)), F.ceil(position(q)))]
     wanted = placed.where(reduce(or_, [(F.col("_start") <= r) & (r < F.col("_end")) for r in ranks]))
     wanted = wanted.select(*keys, "_start", "_total")
-    if not by:
-        wanted = F.broadcast(wanted)  # at most two rows per probability
+    if few_groups or not by:
+        wanted = F.broadcast(wanted)  # at most two rows per probability and group
     inside = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
         rows.join(wanted, keys)

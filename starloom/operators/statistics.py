@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.numeric import rounded
 from starloom.operators.aggregate import value_counts
+from starloom.operators.moments import cross_products, with_presence_and_squares
 from starloom.operators.ordered import exact_quantiles, running_totals
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -17,7 +18,7 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 def box_stats(df: DataFrame, category: str, value: str, order: Sequence[str], reach: float = 1.5) -> DataFrame:
     """Box-plot statistics of the listed categories: quartiles, whiskers and the number of outliers."""
     rows = df.select(category, value).where(F.col(category).isin(list(order)) & F.col(value).isNotNull())
-    boxes = exact_quantiles(rows, value, QUARTILES, by=[category])
+    boxes = exact_quantiles(rows, value, QUARTILES, by=[category], few_groups=True)
     margin = F.lit(reach) * (F.col("q3") - F.col("q1"))
     inside = F.col(value).between(F.col("q1") - margin, F.col("q3") + margin)
     whiskers = (
@@ -53,25 +54,37 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     )
 
 
-def _pearson(x: str, y: str) -> Column:
-    """Correlation over complete pairs; NULL (not an error) for a constant column."""
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    a, b = (F.when(both, F.col(c).cast("double")) for c in (x, y))
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
-
-
 def correlations(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
-    """Strict lower triangle of the pairwise-complete Pearson matrix, all pairs in one aggregate."""
+    """Strict lower triangle of the pairwise-complete Pearson matrix; NULL (not an error) for a constant column.
+
+    All pairs come from one pass over the columns, shifted by their means so that the sums keep their precision.
+    """
     columns = [c for c in columns if c in df.columns]
     if len(columns) < 3:
         raise ValueError("a correlation matrix needs at least three columns")
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    row = df.agg(*[_pearson(a, b).alias(f"_r{i}") for i, (a, b) in enumerate(pairs)])
-    entries = [
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), rounded(f"_r{i}", digits).alias("r"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return row.select(F.inline(F.array(*entries)))
+    k = len(columns)
+    means = df.agg(F.struct(*[F.avg(c).alias(c) for c in columns]).alias("means")).scalar()
+    shifted = df.select(*columns).withColumn("_means", means)
+    shifted = shifted.select(*[(F.col(c) - F.col(f"_means.{c}")).alias(c) for c in columns])
+    sums = cross_products(shifted, columns, with_presence_and_squares)
+    cell = F.struct((F.col("i") * F.lit(3 * k) + F.col("j")).alias("place"), "value")
+    table = sums.agg(F.map_from_entries(F.collect_list(cell)).alias("s"))  # (3 k)^2 cells
+
+    def correlation(a: int, b: int) -> str:
+        # Sums over the rows where both columns are present.
+        n, product = f"nullif(s[{a * 3 * k + b}], 0)", f"s[{(k + a) * 3 * k + k + b}]"
+        sum_a, sum_b = f"s[{(k + a) * 3 * k + b}]", f"s[{(k + b) * 3 * k + a}]"
+        square_a, square_b = f"s[{(2 * k + a) * 3 * k + b}]", f"s[{(2 * k + b) * 3 * k + a}]"
+        spread = f"sqrt(({square_a} - {sum_a} * {sum_a} / {n}) * ({square_b} - {sum_b} * {sum_b} / {n}))"
+        return f"({product} - {sum_a} * {sum_b} / {n}) / nullif(nanvl({spread}, 0.0D), 0.0D)"
+
+    entries = ", ".join(
+        f"struct({a} as a, {b} as b, {correlation(a, b)} as r)" for a in range(k) for b in range(a)
+    )
+    names = F.array(*[F.lit(c) for c in columns])
+    return table.select(F.expr(f"inline(array({entries}))")).select(
+        F.get(names, F.col("a")).alias("feature_a"), F.get(names, F.col("b")).alias("feature_b"), rounded("r", digits).alias("r")
+    )
 
 
 def ecdf(df: DataFrame, value: str) -> DataFrame:

@@ -83,7 +83,7 @@ def _(t):
 def _(t):
     """The evaluation preset: top 50 categories, no numeric attributes, k from 2 to 8 over all rows."""
     rows = materialize(C.category_matrix(t.small_bridge, None, "job_id", "skill_abr", 50))
-    return C.evaluate(rows, "job_id", restarts=3)
+    return C.evaluate(rows, "job_id")
 
 
 _PAIRS = """SELECT a.vec_id AS id, a.cluster AS own, b.cluster AS other, SUM(list_distance(a.features, b.features)) AS total,

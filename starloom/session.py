@@ -14,6 +14,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the Python call site costs several JVM calls for every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -42,3 +44,12 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/starloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for a frame that iterative fits scan many times, even where its files are few and small.
+
+    Large inputs already have more scan partitions than cores and pass unchanged.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df

@@ -46,15 +46,18 @@ def source_manifest(spark: SparkSession, root: str, files: Mapping[str, str] = S
     return spark.createDataFrame(rows, "name string, path string, present boolean, all_present boolean")
 
 
-def _csv_reader(spark: SparkSession):
-    # Descriptions contain line breaks and quotes.
-    return spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+# Tables with free text, whose values may contain line breaks. Such files cannot be split, the others can.
+FREE_TEXT_TABLES = ("job_postings",)
 
 
-def _header_schema(spark: SparkSession, path: str, declared: str) -> T.StructType:
+def _csv_reader(spark: SparkSession, free_text: bool):
+    return spark.read.option("header", True).option("multiLine", free_text).option("escape", '"')
+
+
+def _header_schema(spark: SparkSession, path: str, declared: str, free_text: bool) -> T.StructType:
     """Types by column name for the columns a file really has, in file order; undeclared columns stay text."""
     types = {f.name: f.dataType for f in T.StructType.fromDDL(declared).fields}
-    names = _csv_reader(spark).csv(path).columns
+    names = _csv_reader(spark, free_text).csv(path).columns
     return T.StructType([
         T.StructField(name, types.get(name.strip().lower().replace(" ", "_"), T.StringType())) for name in names
     ])
@@ -65,14 +68,16 @@ def read_tables(
     root: str,
     files: Mapping[str, str] = SOURCE_FILES,
     schemas: Mapping[str, str] = SOURCE_SCHEMAS,
+    free_text: Sequence[str] = FREE_TEXT_TABLES,
 ) -> dict[str, DataFrame]:
     """All sources that exist; absent files are skipped. Values that do not parse become NULL."""
     tables = {}
     for name, file in files.items():
         path = f"{root}/{file}"
         if _exists(spark, path):
-            schema = _header_schema(spark, path, schemas[name])
-            tables[name] = nulls_for_nan(_csv_reader(spark).schema(schema).csv(path))
+            texts = name in free_text
+            schema = _header_schema(spark, path, schemas[name], texts)
+            tables[name] = nulls_for_nan(_csv_reader(spark, texts).schema(schema).csv(path))
     return tables
 
 
