@@ -56,11 +56,12 @@ def category_matrix(
     if not columns:
         return coded.select(key, "items", hot.alias("features"))
     attributes = fact.groupBy(key).agg(F.min(F.struct(*columns)).alias("_row")).select(key, "_row.*")
-    joined = coded.join(attributes.withColumn("_known", F.lit(1)), key, "left")
-    scaled = unit_range(joined, columns, weight)
+    # The scaling needs the ranges of the joined rows first: store them instead of joining twice.
+    joined = materialize(kept.join(attributes.withColumn("_known", F.lit(True)), key, "left")).withColumn("_classes", classes)
     complete = joined.agg(F.count_if(F.col("_known").isNull()) == 0).scalar()
     extra = F.when(F.col("_complete"), F.array(*[F.col(c) for c in columns])).otherwise(F.array().cast("array<double>"))
-    return scaled.withColumn("_complete", complete).select(key, "items", F.concat(hot, extra).alias("features"))
+    scaled = unit_range(joined, columns, weight).withColumn("_complete", complete)
+    return scaled.select(key, "items", F.concat(hot, extra).alias("features"))
 
 
 def numeric_matrix(fact: DataFrame, key: str, columns: Sequence[str] = FALLBACK_FEATURES) -> DataFrame:

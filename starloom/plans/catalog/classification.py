@@ -17,8 +17,11 @@ def _round(df, digits, *columns):
 
 def fitted(t, names=None):
     task = S.classification_task(t.prepared)
-    models = S.fit_classifiers(task, names)
-    return task, models, S.class_predictions(task, models)
+    return task, S.fit_classifiers(task, names)
+
+
+def predicted(t, names=None):
+    return S.class_predictions(*fitted(t, names))
 
 
 def compared(predictions):
@@ -27,18 +30,18 @@ def compared(predictions):
 
 @query("clf_logreg")
 def _(t):
-    task, models, _ = fitted(t, ["Logistic Regression"])
+    task, models = fitted(t, ["Logistic Regression"])
     return S.coefficients(models["Logistic Regression"], task.features, t.spark)
 
 
 @query("clf_tree")
 def _(t):
-    return compared(fitted(t, ["Decision Tree"])[2])
+    return compared(predicted(t, ["Decision Tree"]))
 
 
 @query("clf_rf")
 def _(t):
-    return compared(fitted(t, ["Random Forest"])[2])
+    return compared(predicted(t, ["Random Forest"]))
 
 
 @query("clf_metrics", f"SELECT model, {rnd('accuracy', 8)} AS accuracy, {rnd('f1', 8)} AS f1, {rnd('auc', 8)} AS auc FROM compared", COMPARISON_CTES)
@@ -49,7 +52,7 @@ def _(t):
 @query("clf_best")
 def _(t):
     """Comparison of all three models with the one to persist marked."""
-    table = compared(fitted(t)[2])
+    table = compared(predicted(t))
     best = S.best_model(table, "f1")
     return table.withColumn("is_best", F.col("model") == best)
 
@@ -94,13 +97,13 @@ def _(t):
 
 @query("clf_importance")
 def _(t):
-    task, models, _ = fitted(t, ["Random Forest"])
+    task, models = fitted(t, ["Random Forest"])
     return S.importances(models["Random Forest"], task.features, t.spark, top=12)
 
 
 @query("clf_roc")
 def _(t):
     """ROC curves of the fitted models with their area."""
-    predictions = fitted(t)[2]
+    predictions = predicted(t)
     curves = roc_points(predictions, "actual", "score", "model")
     return curves.join(F.broadcast(compared(predictions).select("model", "auc")), "model")  # one row per model

@@ -43,7 +43,7 @@ def matrix(t, top=35):
 
 
 def clustered(t, k=4, restarts=10):
-    rows = materialize(matrix(t))
+    rows = matrix(t)
     model = C.fit_kmeans(rows, k, restarts)
     return rows, model, materialize(C.assign(model, rows))
 
@@ -137,7 +137,7 @@ def _(t):
 
 @query("clu_pca")
 def _(t):
-    rows = materialize(matrix(t))
+    rows = matrix(t)
     return C.explained_variance(C.fit_projection(rows), rows)
 
 

@@ -22,8 +22,11 @@ def _round(df, digits, *columns):
 
 def fitted(t, names=None):
     task = S.regression_task(t.prepared)
-    models = S.fit_regressors(task, names)
-    return task, models, S.value_predictions(task, models)
+    return task, S.fit_regressors(task, names)
+
+
+def predicted(t, names=None):
+    return S.value_predictions(*fitted(t, names))
 
 
 def compared(predictions):
@@ -35,7 +38,7 @@ def compared(predictions):
 
 @query("reg_ols")
 def _(t):
-    task, models, _ = fitted(t, ["Linear Regression"])
+    task, models = fitted(t, ["Linear Regression"])
     return S.coefficients(models["Linear Regression"], task.features, t.spark)
 
 
@@ -56,18 +59,18 @@ def _(t):
 
 @query("reg_ridge")
 def _(t):
-    task, models, _ = fitted(t, ["Ridge Regression"])
+    task, models = fitted(t, ["Ridge Regression"])
     return S.coefficients(models["Ridge Regression"], task.features, t.spark)
 
 
 @query("reg_rf")
 def _(t):
-    return compared(fitted(t, ["Random Forest"])[2])
+    return compared(predicted(t, ["Random Forest"]))
 
 
 @query("reg_gbt")
 def _(t):
-    return compared(fitted(t, ["Gradient Boosting"])[2])
+    return compared(predicted(t, ["Gradient Boosting"]))
 
 
 _SPAN = "(SELECT max(o_totalprice) - min(o_totalprice) FROM orders)"
@@ -98,7 +101,7 @@ def _(t):
 @query("reg_best")
 def _(t):
     """Comparison of all four models with the one to persist marked."""
-    table = compared(fitted(t)[2])
+    table = compared(predicted(t))
     best = S.best_model(table, "r2")
     return table.withColumn("is_best", F.col("model") == best)
 
@@ -128,13 +131,13 @@ def _(t):
 
 @query("reg_importance")
 def _(t):
-    task, models, _ = fitted(t, ["Random Forest"])
+    task, models = fitted(t, ["Random Forest"])
     return S.importances(models["Random Forest"], task.features, t.spark)
 
 
 @query("reg_compare")
 def _(t):
     """Linear models beside the predictor that always answers the mean."""
-    task, _, predictions = fitted(t, ["Linear Regression", "Ridge Regression"])
-    table = compared(predictions).select("model", "rmse", "r2")
+    task, models = fitted(t, ["Linear Regression", "Ridge Regression"])
+    table = compared(S.value_predictions(task, models)).select("model", "rmse", "r2")
     return sets.with_naive_baseline(table, task.test, task.label, "Naive (always predict mean)")

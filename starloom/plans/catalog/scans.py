@@ -94,7 +94,7 @@ def _(t):
 @query("snk_model_reload")
 def _(t):
     """Predictions of the saved and reloaded model beside those of the fitted one."""
-    task, models, _ = regression.fitted(t, ["Ridge Regression"])
+    task, models = regression.fitted(t, ["Ridge Regression"])
     path = f"{_folder(t)}/model"
     sinks.save_model(models["Ridge Regression"], path)
     before = S.value_predictions(task, models).select("job_id", F.col("predicted").alias("fitted"))
@@ -105,7 +105,7 @@ def _(t):
 @query("set_scorecard")
 def _(t):
     """Headline metrics of the four tasks, each from its own fit on the whole tables."""
-    table = classification.compared(classification.fitted(t, ["Decision Tree"])[2])
+    table = classification.compared(classification.predicted(t, ["Decision Tree"]))
     classes = table.select("accuracy", "f1", F.col("auc").alias("roc_auc"))
     rows, model, labelled = clustering.clustered(t, restarts=3)
     measured = clustering.C.silhouette(labelled, "job_id").select("silhouette").scalar()
@@ -113,6 +113,6 @@ def _(t):
         F.col("k").alias("optimal_k"), measured.alias("silhouette"), "davies_bouldin"
     )
     found = rule_queries.R.rule_summary(materialize(rule_queries._rules(t)))
-    predictions = regression.fitted(t, ["Linear Regression"])[2]
+    predictions = regression.predicted(t, ["Linear Regression"])
     values = regression.scores.regression_metrics(predictions, "actual_value", "predicted_value")
     return scorecard({"classification": classes, "clustering": groups, "association_rules": found, "regression": values})
