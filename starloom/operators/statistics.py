@@ -21,16 +21,16 @@ def box_stats(df: DataFrame, category: str, value: str, order: Sequence[str], re
     boxes = exact_quantiles(rows, value, QUARTILES, by=[category], few_groups=True)
     margin = F.lit(reach) * (F.col("q3") - F.col("q1"))
     inside = F.col(value).between(F.col("q1") - margin, F.col("q3") + margin)
-    whiskers = (
-        rows.join(F.broadcast(boxes), category)  # one row per listed category
-        .groupBy(category)
+    # One row per listed category; carrying the box through the grouping saves computing it twice.
+    return (
+        rows.join(F.broadcast(boxes), category)
+        .groupBy(category, "n", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col(value))).alias("whisker_low"),
             F.max(F.when(inside, F.col(value))).alias("whisker_high"),
             F.count_if(~inside).alias("n_outliers"),
         )
     )
-    return boxes.join(F.broadcast(whiskers), category)
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:

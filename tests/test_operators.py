@@ -25,6 +25,8 @@ SHAPES = {
     "heavy": RNG.lognormal(3, 4, 500).tolist() + [1e15, -1e15],
     "hot": [7.0] * 400 + RNG.uniform(0, 20, 800).tolist(),
     "tiny": RNG.uniform(0, 1e-9, 300).tolist(),
+    "narrow": (1.7e12 + RNG.integers(0, 40_000, 900)).tolist(),
+    "clusters": (1.7e12 + RNG.uniform(0, 5, 300)).tolist() + (-3e9 + RNG.uniform(0, 1e-3, 300)).tolist() + [0.0] * 100,
     "gaps": [None, 1.0, float("nan"), 9.0, None, 4.0],
 }
 
@@ -49,13 +51,21 @@ def test_grouped_quantiles(spark):
             assert got[g]["q"] == pytest.approx(np.quantile(SHAPES[shape], 0.37), rel=1e-12)
 
 
+def test_narrow_columns_are_cut_into_slices(spark):
+    df = frame(spark, SHAPES["narrow"]).distinct().withColumn("n", F.lit(1))
+    buckets = df.select(ordered.order_bucket("v").alias("b")).distinct().count()
+    low, high = df.agg(F.min("v"), F.max("v")).first()
+    spans = df.withColumns({"_low": F.lit(low), "_high": F.lit(high)})
+    assert buckets < 5 and spans.select(ordered._slice("v").alias("s")).distinct().count() > 300
+
+
 def test_quantile_of_nothing(spark):
     df = frame(spark, [None, None])
     assert df.where(F.col("v") <= ordered.quantile(df, "v", 0.5)).count() == 0
 
 
 def test_running_totals_cross_bucket_borders(spark):
-    counts = Counter(round(float(v), 3) for v in SHAPES["heavy"] + SHAPES["hot"])
+    counts = Counter(round(float(v), 3) for v in SHAPES["heavy"] + SHAPES["hot"] + SHAPES["narrow"])
     df = spark.createDataFrame(list(counts.items()), "v double, n bigint")
     for descending in (False, True):
         got = ordered.running_totals(df, "v", ["n"], descending=descending).collect()
