@@ -1 +1,8 @@
-"""Star-schema analytics and mining as Spark DataFrame operators."""
+"""Star-schema analytics and mining as PySpark DataFrame operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with their code, so workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

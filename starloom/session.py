@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,11 +28,11 @@ def build_session(app_name: str = "starloom", master: str | None = None, **conf)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster; a temporary one only where none is configured."""
+    """The shared folder of `spark.checkpoint.dir`; where that is unset, one in the warehouse, which is shared too."""
     context = spark.sparkContext
     configured = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if configured is None:
-        configured = tempfile.mkdtemp(prefix="starloom-checkpoint-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir')}/stages"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured
