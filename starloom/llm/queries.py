@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import mixing, quality, urls
+from starloom.llm import bpe, minhash, mixing, quality, urls
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,22 @@ SELECT doc_id, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE (whole:
 @query("op4_mixing", _MIX_SQL)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
+
+
+def token_digests(documents: DataFrame) -> DataFrame:
+    """Digests of the ids of whole texts and of what the ids decode to."""
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rows = bpe.decode(bpe.encode(documents, ranks, public_tokenizers.PATTERN), ranks)
+    return rows.select("doc_id", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op9_byte_bpe")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return token_digests(table(spark, folder, "documents"))
+
+
+@query("op7_minhash")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
