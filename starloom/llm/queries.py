@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, minhash, mixing, quality, urls
+from starloom.llm import bpe, extract, minhash, mixing, personal, quality, urls
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,19 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_minhash")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op6_personal_data")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    found = personal.with_spans(documents.select("doc_id", "text"), "text", personal.fitted(documents), only="doc_id")
+    base = F.filter("found", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{k}") for k in personal.KINDS]
+    return found.select("_row.doc_id", *counts, F.sha2(personal.spans_text(base), 256).alias("base_sha256"), personal.spans_text(F.col("found")).alias("spans"))
+
+
+@query("op1_html_extraction")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return extract.main_text(pages, extract.fitted(pages))
