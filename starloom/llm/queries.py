@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, extract, minhash, mixing, personal, quality, urls
+from starloom.llm import bpe, extract, minhash, mixing, personal, quality, urls, vectors
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     return extract.main_text(pages, extract.fitted(pages))
+
+
+@query("op10_embedding_near_dedup")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
