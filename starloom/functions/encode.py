@@ -52,15 +52,24 @@ RULE_LABELS = {
     for code in ("ACCT", "ANLS", "BD", "ENG", "FIN", "HCPR", "IT", "MGMT", "MNFC", "MRKT", "SALE")
 }
 
-# Display names of model features.
-FEATURE_LABELS = {
-    "applies": "Applicant count", "apply_rate": "Apply rate", "company_size_encoded": "Company size",
-    "experience_encoded": "Experience level", "high_salary": "High salary (top 25%)", "is_remote": "Remote job",
-    "is_senior_title": "Senior-level title", "skill_count": "Skill count", "views": "Job views",
-    "work_CONTRACT": "Contract", "work_FULL_TIME": "Full-time", "work_INTERNSHIP": "Internship",
-    "work_OTHER": "Other work type", "work_PART_TIME": "Part-time", "work_TEMPORARY": "Temporary",
-    "work_VOLUNTEER": "Volunteer",
-}
+# Display names of model features in the regression chart.
+REGRESSION_LABELS = {
+    "skill_count": "Skill count", "applies": "Applicant count", "views": "Job views", "apply_rate": "Apply rate",
+    "experience_encoded": "Experience level", "company_size_encoded": "Company size", "is_remote": "Remote job",
+    "is_senior_title": "Senior-level title", "work_FULL_TIME": "Full-time", "work_PART_TIME": "Part-time",
+    "work_CONTRACT": "Contract", "work_INTERNSHIP": "Internship", "work_TEMPORARY": "Temporary",
+    "work_OTHER": "Other work type", "work_VOLUNTEER": "Volunteer",
+}
+
+# Display names of model features in the classification chart.
+CLASSIFICATION_LABELS = {
+    "skill_count": "Skill count", "views": "Job views", "apply_rate": "Apply rate (applies/views)",
+    "experience_encoded": "Experience level", "company_size_encoded": "Company size", "is_remote": "Remote job",
+    "is_senior_title": "Senior-level title", "high_salary": "High salary (top 25%)",
+    "work_FULL_TIME": "Work type: Full-time", "work_PART_TIME": "Work type: Part-time",
+    "work_CONTRACT": "Work type: Contract", "work_INTERNSHIP": "Work type: Internship",
+    "work_TEMPORARY": "Work type: Temporary", "work_OTHER": "Work type: Other", "work_VOLUNTEER": "Work type: Volunteer",
+}
 
 
 def _literal(value: str | int) -> str:
@@ -96,9 +105,9 @@ def set_label(items: Column | str, labels: Mapping[str, str] = RULE_LABELS, sep:
     return F.array_join(F.transform(F.array_sort(as_col(items)), lambda x: label(F.trim(x), labels)), sep)
 
 
-def feature_label(c: Column | str) -> Column:
+def feature_label(c: Column | str, labels: Mapping[str, str] = REGRESSION_LABELS) -> Column:
     """Listed display name, else the column name in title case."""
-    return lookup(c, FEATURE_LABELS, F.initcap(F.replace(as_col(c), F.lit("_"), F.lit(" "))))
+    return lookup(c, labels, F.initcap(F.replace(as_col(c), F.lit("_"), F.lit(" "))))
 
 
 def region_code(c: Column | str, codes: Mapping[str, str] = STATE_CODES, unknown: str = UNKNOWN) -> Column:

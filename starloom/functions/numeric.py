@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Plain decimal and exponent notation; Java alone would also take "1d", "2f" and hex floats.
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$|^\s*[+-]?(?i:inf|infinity)\s*$"
@@ -30,8 +31,10 @@ def to_number(c: Column | str) -> Column:
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
-def number_or_zero(c: Column | str) -> Column:
-    return F.coalesce(to_number(c), F.lit(0.0))
+def number_or_zero(df: DataFrame, c: str) -> Column:
+    """A column as double with gaps as 0; only text is parsed."""
+    number = F.col(c).cast("double") if isinstance(df.schema[c].dataType, (T.NumericType, T.BooleanType)) else to_number(c)
+    return F.coalesce(nan_as_null(number), F.lit(0.0))
 
 
 def midpoint(low: Column | str, high: Column | str) -> Column:

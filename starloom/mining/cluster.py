@@ -66,7 +66,7 @@ def category_matrix(
 
 def numeric_matrix(fact: DataFrame, key: str, columns: Sequence[str] = FALLBACK_FEATURES) -> DataFrame:
     """(key, features) from numeric columns alone, missing values as 0."""
-    return fact.select(key, F.array(*[number_or_zero(c) for c in present(fact, columns)]).alias("features"))
+    return fact.select(key, F.array(*[number_or_zero(fact, c) for c in present(fact, columns)]).alias("features"))
 
 
 def fit_kmeans(matrix: DataFrame, k: int, restarts: int = 10, seed: int = 42, parallel: int = 4) -> KMeansModel:
@@ -140,11 +140,11 @@ def choose_k(
     matrix: DataFrame,
     key: str,
     k_values: Sequence[int] = (2, 3, 4, 5),
-    sample: int | None = 5000,
+    sample: int | None = None,
     measured: int = 2000,
     restarts: int = 10,
 ) -> DataFrame:
-    """Silhouette per k on a seeded sample of the matrix (None: on all rows), one row per k."""
+    """Silhouette per k on all rows, or on a seeded sample of so many, one row per k."""
     rows = materialize(sample_rows(matrix, key, sample) if sample else matrix)
 
     def measure(k: int) -> tuple[int, float]:
@@ -175,9 +175,9 @@ def centroids(labelled: DataFrame) -> DataFrame:
 def davies_bouldin(labelled: DataFrame) -> DataFrame:
     """Davies-Bouldin index in one row.
 
-    Only the k centroids are broadcast, and the k x k comparison runs inside one array of k entries.
+    The k x k comparison runs inside one array of k entries.
     """
-    rows = labelled.join(F.broadcast(centroids(labelled)), "cluster")
+    rows = labelled.join(centroids(labelled), "cluster")
     spread = rows.groupBy("cluster", "centre").agg(F.avg(_distance(F.col("features"), F.col("centre"))).alias("spread"))
     gathered = spread.agg(F.collect_list(F.struct("cluster", "centre", "spread")).alias("all"))
 
@@ -204,7 +204,7 @@ def item_shares(labelled: DataFrame, items: str = "items") -> DataFrame:
         .groupBy("cluster", "item")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    return counts.join(F.broadcast(sizes), "cluster").select(  # one row per cluster
+    return counts.join(sizes, "cluster").select(
         "cluster", "item", (F.col("_n") / F.col("_size")).alias("share")
     )
 

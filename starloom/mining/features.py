@@ -33,7 +33,7 @@ def feature_frame(
         raise ValueError(f"the frame has no target column {target!r}; run the preprocessing first")
     names = feature_names(df, features, prefix)
     known = df.where(F.col(target).isNotNull())
-    return known.select(key, *[number_or_zero(c).alias(c) for c in names], F.col(target).cast(target_type).alias(target))
+    return known.select(key, *[number_or_zero(known, c).alias(c) for c in names], F.col(target).cast(target_type).alias(target))
 
 
 def classification_frame(df: DataFrame, key: str = "job_id", target: str = "high_demand") -> DataFrame:

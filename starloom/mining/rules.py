@@ -31,7 +31,7 @@ def frequent_itemsets(transactions: DataFrame, min_support: float = 0.05, items:
 
 
 def _power(exponent: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1), exponent)
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), exponent)
 
 
 def _splits(itemsets: DataFrame) -> DataFrame:
@@ -40,19 +40,19 @@ def _splits(itemsets: DataFrame) -> DataFrame:
     The split number is built from a high and a low part so that no single array holds all 2^length of them.
     """
     size = F.col("length")
-    high = F.when(size > _LOW_BITS, _power(size - _LOW_BITS)).otherwise(1)
+    high = _power(F.greatest(size - _LOW_BITS, F.lit(0)))
     low = _power(F.least(size, F.lit(_LOW_BITS)))
     numbered = (
         itemsets.where(size >= 2)
-        .withColumn("_high", F.explode(F.sequence(F.lit(0), high - 1)))
-        .withColumn("_low", F.explode(F.sequence(F.lit(0), low - 1)))
+        .withColumn("_high", F.explode(F.sequence(F.lit(0).cast("bigint"), high - 1)))
+        .withColumn("_low", F.explode(F.sequence(F.lit(0).cast("bigint"), low - 1)))
         .withColumn("_split", F.shiftleft(F.col("_high"), _LOW_BITS).bitwiseOR(F.col("_low")))
         .where((F.col("_split") > 0) & (F.col("_split") < _power(size) - 1))
     )
 
     def side(bit: int) -> Column:
         # shiftright is called by name: its Python wrapper only takes a constant distance.
-        chosen = lambda i: F.call_function("shiftright", F.col("_split"), i).bitwiseAND(F.lit(1))
+        chosen = lambda i: F.call_function("shiftright", F.col("_split"), i).bitwiseAND(F.lit(1).cast("bigint"))
         return F.filter("items", lambda _, i: chosen(i) == bit)
 
     return numbered.withColumns({"antecedents": side(1), "consequents": side(0)}).drop("_high", "_low", "_split")

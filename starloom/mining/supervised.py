@@ -13,13 +13,13 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.encode import feature_label
+from starloom.functions.encode import REGRESSION_LABELS, feature_label
 from starloom.mining.features import classification_frame, regression_frame
 from starloom.operators.ranking import best_by, share_of_selection
 from starloom.operators.sampling import split_rows, stratified_split
 from starloom.operators.scaling import unscaled, with_scaled_target
 from starloom.operators.sets import stack
-from starloom.session import materialize, spread
+from starloom.session import FIT_PARTITIONS, materialize, stored_for_fits
 
 SEED = 42
 # Node numbers are kept per row instead of walking every tree again, and a whole tree level fits into one pass.
@@ -44,19 +44,23 @@ class Task:
         return self.rows.where(F.col("is_test") == 1)
 
 
-def classification_task(df: DataFrame, key: str = "job_id", target: str = "high_demand") -> Task:
+def classification_task(
+    df: DataFrame, key: str = "job_id", target: str = "high_demand", partitions: int = FIT_PARTITIONS
+) -> Task:
     """Stratified 80/20 split of the classification frame."""
     frame = classification_frame(df, key, target)
     features = [c for c in frame.columns if c not in (key, target)]
-    return Task(spread(materialize(stratified_split(frame, key, target, seed=SEED))), features, key, target)
+    return Task(stored_for_fits(stratified_split(frame, key, target, seed=SEED), key, partitions), features, key, target)
 
 
-def regression_task(df: DataFrame, key: str = "job_id", target: str = "salary_clean") -> Task:
+def regression_task(
+    df: DataFrame, key: str = "job_id", target: str = "salary_clean", partitions: int = FIT_PARTITIONS
+) -> Task:
     """80/20 split of the regression frame; the target is scaled to [0, 1] and keeps its range beside it."""
     frame = regression_frame(df, key, target)
     features = [c for c in frame.columns if c not in (key, target)]
     scaled = with_scaled_target(materialize(frame), target)
-    return Task(spread(materialize(split_rows(scaled, key, seed=SEED))), features, key, "target_scaled")
+    return Task(stored_for_fits(split_rows(scaled, key, seed=SEED), key, partitions), features, key, "target_scaled")
 
 
 def classifiers(n_train: int, names: Sequence[str] | None = None) -> dict:
@@ -145,10 +149,12 @@ def coefficients(model: PipelineModel, features: Sequence[str], spark) -> DataFr
     return spark.createDataFrame(rows, "feature string, weight double")
 
 
-def importances(model: PipelineModel, features: Sequence[str], spark, top: int | None = None) -> DataFrame:
+def importances(
+    model: PipelineModel, features: Sequence[str], spark, top: int | None = None, labels: Mapping[str, str] = REGRESSION_LABELS
+) -> DataFrame:
     """Tree-model importances with display names and their share of the listed rows."""
     values = zip(features, map(float, model.stages[-1].featureImportances.toArray()), strict=True)
     rows = spark.createDataFrame(list(values), "feature string, importance double")
     rows = rows.orderBy(F.desc("importance"), "feature")
     rows = rows.limit(top) if top else rows
-    return share_of_selection(rows.withColumn("label", feature_label("feature")), "importance")
+    return share_of_selection(rows.withColumn("label", feature_label("feature", labels)), "importance")

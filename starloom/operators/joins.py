@@ -73,7 +73,7 @@ def lookup_rows(keys: DataFrame, fact: DataFrame, key: str, attributes: Sequence
 
 
 def cooccurrence(bridge: DataFrame, key: str, item: str, k: int = 15) -> DataFrame:
-    """Symmetric counts of item pairs that share a key, over the k most frequent items.
+    """Symmetric counts of item pairs that share a key, over the k most frequent items; pairs that never meet count 0.
 
     Each key is reduced to one row of k counters, and all pair counts are the cross products of these counters: no
     pair of rows is ever built, so a key with very many rows costs no more than any other.
@@ -84,7 +84,7 @@ def cooccurrence(bridge: DataFrame, key: str, item: str, k: int = 15) -> DataFra
     counted = bridge.join(F.broadcast(places), item)
     counters = [f"_m{i}" for i in range(k)]
     per_key = counted.groupBy(key).agg(*[F.expr(f"count_if(_place = {i})").alias(c) for i, c in enumerate(counters)])
-    pairs = cross_products(per_key, counters).where("i <> j and value > 0").withColumn("_names", names.scalar())
+    pairs = cross_products(per_key, counters).where("i <> j").withColumn("_names", names.scalar())
     return pairs.select(
         F.get("_names", F.col("i")).alias("item_a"),
         F.get("_names", F.col("j")).alias("item_b"),

@@ -104,9 +104,18 @@ _POSTING_COLUMNS = [
 _SALARY_COLUMNS = ["job_id", "min_salary", "max_salary", "pay_period", "currency"]
 
 
-@query("prf_table", _profile_sql("postings", _POSTING_COLUMNS) + " UNION ALL " + _profile_sql("salaries", _SALARY_COLUMNS))
+_PROFILED = {
+    "postings": _POSTING_COLUMNS,
+    "companies": ["company_id", "name", "company_size", "state", "country"],
+    "bridge": ["job_id", "skill_abr"],
+    "salaries": _SALARY_COLUMNS,
+    "benefits": ["job_id", "type", "inferred"],
+}
+
+
+@query("prf_table", " UNION ALL ".join(_profile_sql(table, columns) for table, columns in _PROFILED.items()))
 def _(t):
-    return profile.profile({"postings": t.postings, "salaries": t.salaries})
+    return profile.profile({table: getattr(t, table) for table in _PROFILED})
 
 
 _NULLS = " + ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL)" for c in _POSTING_COLUMNS)

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from starloom.functions.encode import CLASSIFICATION_LABELS
 from starloom.functions.numeric import rounded
 from starloom.mining import scores
 from starloom.mining import supervised as S
@@ -98,7 +99,7 @@ def _(t):
 @query("clf_importance")
 def _(t):
     task, models = fitted(t, ["Random Forest"])
-    return S.importances(models["Random Forest"], task.features, t.spark, top=12)
+    return S.importances(models["Random Forest"], task.features, t.spark, top=12, labels=CLASSIFICATION_LABELS)
 
 
 @query("clf_roc")
@@ -106,4 +107,4 @@ def _(t):
     """ROC curves of the fitted models with their area."""
     predictions = predicted(t)
     curves = roc_points(predictions, "actual", "score", "model")
-    return curves.join(F.broadcast(compared(predictions).select("model", "auc")), "model")  # one row per model
+    return curves.join(compared(predictions).select("model", "auc"), "model")

@@ -42,6 +42,10 @@ def matrix(t, top=35):
     return C.category_matrix(t.small_bridge, t.prepared, "job_id", "skill_abr", top)
 
 
+def evaluation_matrix(t):
+    return C.category_matrix(t.small_bridge, None, "job_id", "skill_abr", 50)
+
+
 def clustered(t, k=4, restarts=10):
     rows = matrix(t)
     model = C.fit_kmeans(rows, k, restarts)
@@ -82,8 +86,7 @@ def _(t):
 @query("clu_evaluate")
 def _(t):
     """The evaluation preset: top 50 categories, no numeric attributes, k from 2 to 8 over all rows."""
-    rows = materialize(C.category_matrix(t.small_bridge, None, "job_id", "skill_abr", 50))
-    return C.evaluate(rows, "job_id")
+    return C.evaluate(materialize(evaluation_matrix(t)), "job_id")
 
 
 _PAIRS = """SELECT a.vec_id AS id, a.cluster AS own, b.cluster AS other, SUM(list_distance(a.features, b.features)) AS total,

@@ -11,8 +11,10 @@ from starloom.plans.warehouse import clean_salaries
 TOP15 = {
     "top15": "SELECT skill_abr, COUNT(*) AS n FROM bridge GROUP BY 1 ORDER BY n DESC, skill_abr LIMIT 15",
     "counted": "SELECT job_id, skill_abr, COUNT(*) AS m FROM bridge SEMI JOIN top15 USING (skill_abr) GROUP BY ALL",
-    "pairs": "SELECT a.skill_abr AS item_a, b.skill_abr AS item_b, CAST(SUM(a.m * b.m) AS BIGINT) AS n "
+    "met": "SELECT a.skill_abr AS item_a, b.skill_abr AS item_b, SUM(a.m * b.m) AS n "
     "FROM counted a JOIN counted b ON a.job_id = b.job_id AND a.skill_abr <> b.skill_abr GROUP BY 1, 2",
+    "pairs": "SELECT a.skill_abr AS item_a, b.skill_abr AS item_b, CAST(coalesce(met.n, 0) AS BIGINT) AS n FROM top15 a JOIN top15 b "
+    "ON a.skill_abr <> b.skill_abr LEFT JOIN met ON met.item_a = a.skill_abr AND met.item_b = b.skill_abr",
 }
 
 

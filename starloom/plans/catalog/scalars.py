@@ -34,12 +34,16 @@ def _(t):
     return t.prepared.select("job_id", *project.prefixed_columns(t.prepared, "work_"))
 
 
-@query("prj_types", """SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(o_orderkey) + COUNT(o_custkey) + COUNT(o_totalprice) AS BIGINT)
-    AS numeric_cells, CAST(COUNT(o_orderstatus) + COUNT(o_orderdate) + COUNT(o_orderpriority) AS BIGINT) AS other_cells FROM orders""")
+_KINDS = {"o_orderkey": "numeric", "o_custkey": "numeric", "o_orderstatus": "other", "o_totalprice": "numeric", "o_orderdate": "other", "o_orderpriority": "other"}
+
+
+@query("prj_types", " UNION ALL ".join(f"SELECT '{c}' AS column_name, '{kind}' AS kind, COUNT({c}) AS cells FROM orders" for c, kind in _KINDS.items()))
 def _(t):
     numeric, other = project.split_by_type(t.orders)
-    counts = [sum((F.count(c) for c in names), F.lit(0).cast("bigint")) for names in (numeric, other)]
-    return t.orders.agg(F.count(F.lit(1)).alias("n_rows"), counts[0].alias("numeric_cells"), counts[1].alias("other_cells"))
+    kinds = [(c, kind) for names, kind in ((numeric, "numeric"), (other, "other")) for c in names]
+    counts = t.orders.agg(*[F.count(c).alias(c) for c, _ in kinds])
+    rows = F.explode(F.array([F.struct(F.lit(c).alias("column_name"), F.lit(kind).alias("kind"), F.col(c).alias("cells")) for c, kind in kinds]))
+    return counts.select(rows.alias("r")).select("r.*")
 
 
 @query("prj_positional", "SELECT l_orderkey AS key_value, skill_abr AS item_value FROM (SELECT job_id AS l_orderkey, skill_abr FROM bridge)")
@@ -138,7 +142,7 @@ def _(t):
 def _(t):
     raw = F.when(F.col("p_type") == "PROMO", "n/a").when(F.col("p_type") == "SMALL", F.col("p_name"))
     rows = t.part.select(F.col("p_partkey").alias("part_id"), raw.otherwise(F.col("p_size").cast("string")).alias("raw"))
-    return rows.select("part_id", N.number_or_zero("raw").alias("number"))
+    return rows.select("part_id", N.number_or_zero(rows, "raw").alias("number"))
 
 
 @query("num_midpoint", f"SELECT job_id, {rnd('salary_midpoint', 2)} AS salary_midpoint FROM midpoints")

@@ -24,13 +24,6 @@ def _folder(t):
 _TABLES = ["customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders", "pages", "part"]
 
 
-@query("src_manifest", "SELECT * FROM (VALUES " + ", ".join(
-    f"('{n}', '{n}.parquet', true, false)" for n in _TABLES) + ", ('absent', 'absent.parquet', false, false)) v(name, path, present, all_present)")
-def _(t):
-    files = {name: f"{name}.parquet" for name in [*_TABLES, "absent"]}
-    return readers.source_manifest(t.spark, t.folder, files)
-
-
 @query("src_csv_roundtrip", """SELECT job_id, title, work_type, formatted_experience_level, applies, views, original_listed_time,
     normalized_salary FROM postings""")
 def _(t):
@@ -104,15 +97,14 @@ def _(t):
 
 @query("set_scorecard")
 def _(t):
-    """Headline metrics of the four tasks, each from its own fit on the whole tables."""
-    table = classification.compared(classification.predicted(t, ["Decision Tree"]))
-    classes = table.select("accuracy", "f1", F.col("auc").alias("roc_auc"))
-    rows, model, labelled = clustering.clustered(t, restarts=3)
-    measured = clustering.C.silhouette(labelled, "job_id").select("silhouette").scalar()
-    groups = clustering.C.davies_bouldin(labelled).select(
-        F.col("k").alias("optimal_k"), measured.alias("silhouette"), "davies_bouldin"
-    )
+    """Headline metrics of the four tasks: the best classifier and regressor, the chosen number of clusters, all rules."""
+    table = materialize(classification.compared(classification.predicted(t)))
+    best = S.best_model(table, "f1")
+    classes = table.where(F.col("model") == best).select("accuracy", "f1", F.col("auc").alias("roc_auc"))
+    measured = clustering.C.evaluate(materialize(clustering.evaluation_matrix(t)), "job_id")
+    groups = measured.select(F.col("k").alias("optimal_k"), "silhouette", "davies_bouldin")
     found = rule_queries.R.rule_summary(materialize(rule_queries._rules(t)))
-    predictions = regression.predicted(t, ["Linear Regression"])
-    values = regression.scores.regression_metrics(predictions, "actual_value", "predicted_value")
+    values = materialize(regression.compared(regression.predicted(t)))
+    best = S.best_model(values, "r2")
+    values = values.where(F.col("model") == best).select("r2", "rmse", "mae", "mape")
     return scorecard({"classification": classes, "clustering": groups, "association_rules": found, "regression": values})

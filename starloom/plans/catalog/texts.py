@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from starloom.functions import arrays, encode, text
 from starloom.functions.numeric import rounded
 from starloom.operators.aggregate import item_lists, item_sets
-from starloom.plans.bindings import BRAND_CODES, _case, rnd
+from starloom.plans.bindings import BRAND_CODES, WORK_TYPES, _case, rnd
 from starloom.plans.catalog.registry import query
 
 _STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in text.STOP_WORDS)
@@ -91,9 +91,7 @@ def _(t):
 @query("enc_onehot", """SELECT job_id, CAST(coalesce(work_type = 'FULL_TIME', false) AS INTEGER) AS "work_FULL_TIME",
     CAST(coalesce(work_type = 'PART_TIME', false) AS INTEGER) AS "work_PART_TIME" FROM postings""")
 def _(t):
-    from starloom.plans.preprocess import observed_values
-
-    columns = encode.dummies("work_type", observed_values(t.postings, "work_type"), "work")
+    columns = encode.dummies("work_type", sorted(WORK_TYPES.values()), "work")
     return t.postings.withColumns(columns).select("job_id", *columns)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.encode import COMPANY_SIZE_CODES, EXPERIENCE_CODES, dummies, ordinal, region_code
@@ -18,6 +18,8 @@ TEXT_COLUMNS = ("work_type", "formatted_experience_level", "company_size", "pay_
 ZERO_COLUMNS = ("applies", "views", "skill_count", "apply_rate")
 SCALED_COLUMNS = ("salary_clean", "applies", "views", "skill_count", "apply_rate")
 SALARY_CLEAN_RANGE = (20_000.0, 500_000.0)
+# Work types of the postings, with the text that fills gaps.
+WORK_TYPES = ("FULL_TIME", "PART_TIME", "CONTRACT", "INTERNSHIP", "TEMPORARY", "OTHER", "VOLUNTEER", "Unknown")
 
 
 def fill_missing(df: DataFrame) -> DataFrame:
@@ -33,21 +35,20 @@ def clean_texts(df: DataFrame) -> DataFrame:
     return df
 
 
-def observed_values(df: DataFrame, c: str, limit: int = 1000) -> list[str]:
-    """Distinct values of a category; refuses a column that is no category instead of cutting it short."""
-    rows = df.where(F.col(c).isNotNull()).select(c).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{c} has more than {limit} distinct values and cannot be turned into dummy columns")
-    return sorted(row[0] for row in rows)
+def listed_category(c: str, values: Sequence[str]) -> Column:
+    """The category itself; a value that is not listed raises instead of looking like the base level."""
+    known = F.col(c).isNull() | F.col(c).isin(*values)
+    unlisted = F.raise_error(F.concat(F.lit(f"{c} holds a value that is not listed: "), F.col(c)))
+    return F.when(known, F.col(c)).otherwise(unlisted.cast("string"))
 
 
-def encode_categories(df: DataFrame, work_types: Sequence[str] | None = None) -> DataFrame:
-    """Ordinal and dummy columns. Listing the work types saves the pass that looks for them."""
+def encode_categories(df: DataFrame, work_types: Sequence[str] = WORK_TYPES) -> DataFrame:
+    """Ordinal and dummy columns. The work types that can occur are part of the schema; the first one is the base level."""
     if "formatted_experience_level" in df.columns:
         df = df.withColumn("experience_encoded", ordinal("formatted_experience_level", EXPERIENCE_CODES, -1))
     if "work_type" in df.columns:
-        values = work_types or observed_values(df, "work_type")
-        df = df.withColumns(dummies("work_type", values, "work"))
+        df = df.withColumn("work_type", listed_category("work_type", work_types))
+        df = df.withColumns(dummies("work_type", sorted(work_types), "work"))
     if "company_size" in df.columns:
         df = df.withColumn("company_size_encoded", ordinal("company_size", COMPANY_SIZE_CODES, 0))
     return df
@@ -75,7 +76,7 @@ def scale_features(df: DataFrame) -> DataFrame:
     return z_scores(df, SCALED_COLUMNS)
 
 
-def preprocess(df: DataFrame, work_types: Sequence[str] | None = None) -> DataFrame:
+def preprocess(df: DataFrame, work_types: Sequence[str] = WORK_TYPES) -> DataFrame:
     return (
         df.transform(fill_missing)
         .transform(clean_texts)

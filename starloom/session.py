@@ -17,6 +17,9 @@ SESSION_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+# Partitions of frames that models are fitted on; raise it with the data, and keep it to repeat a fit.
+FIT_PARTITIONS = 32
+
 
 def build_session(app_name: str = "starloom", master: str | None = None, **conf) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -45,10 +48,11 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for a frame that iterative fits scan many times, even where its files are few and small.
+def stored_for_fits(df: DataFrame, key: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """A checkpointed frame in a given number of partitions by key, each in order of the key.
 
-    Large inputs already have more scan partitions than cores and pass unchanged.
+    Learners draw per partition, so the same rows must lie in the same partitions whatever the cluster's size or the
+    layout of the input. The shuffle is done once; fits read the stored partitions.
     """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.repartition(partitions, key).sortWithinPartitions(key).checkpoint()

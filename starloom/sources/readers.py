@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,15 +55,34 @@ def _csv_reader(spark: SparkSession, free_text: bool):
     return spark.read.option("header", True).option("multiLine", free_text).option("escape", '"')
 
 
-def _header_schema(spark: SparkSession, path: str, declared: str, free_text: bool) -> T.StructType:
-    """Types by column name for the columns a file really has, in file order; undeclared columns stay text."""
+def _same_headers(spark: SparkSession, path: str) -> list[list[str]]:
+    """The CSV files below a path, grouped by their header line."""
+    first = F.split(F.col("value"), r"\r?\n", 2)[0]
+    files = spark.read.text(path, wholetext=False).select(F.input_file_name().alias("file"), first.alias("header"), F.col("_metadata.file_block_start").alias("at"))
+    # A file's first line is the first row of its first block.
+    heads = files.where("at = 0").groupBy("file").agg(F.first("header").alias("header"))
+    groups = heads.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
+    return [sorted(g["files"]) for g in sorted(groups, key=lambda g: g["header"])]
+
+
+def _header_schema(spark: SparkSession, path: list[str], declared: str, free_text: bool) -> T.StructType:
+    """Types by column name for the columns that files of one header have, in their order; undeclared ones stay text."""
     types = {f.name: f.dataType for f in T.StructType.fromDDL(declared).fields}
-    names = _csv_reader(spark, free_text).csv(path).columns
+    names = _csv_reader(spark, free_text).csv(path[0]).columns
     return T.StructType([
         T.StructField(name, types.get(name.strip().lower().replace(" ", "_"), T.StringType())) for name in names
     ])
 
 
+def _read_csv(spark: SparkSession, path: str, declared: str, free_text: bool) -> DataFrame:
+    """All files below a path, put together by column name; a column that some files lack is NULL there."""
+    parts = []
+    for files in _same_headers(spark, path):
+        schema = _header_schema(spark, files, declared, free_text)
+        parts.append(_csv_reader(spark, free_text).option("enforceSchema", False).schema(schema).csv(files))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_tables(
     spark: SparkSession,
     root: str,
@@ -75,9 +95,7 @@ def read_tables(
     for name, file in files.items():
         path = f"{root}/{file}"
         if _exists(spark, path):
-            texts = name in free_text
-            schema = _header_schema(spark, path, schemas[name], texts)
-            tables[name] = nulls_for_nan(_csv_reader(spark, texts).schema(schema).csv(path))
+            tables[name] = nulls_for_nan(_read_csv(spark, path, schemas[name], name in free_text))
     return tables
 
 
@@ -96,9 +114,3 @@ def first_path(spark: SparkSession, paths: Sequence[str], schema: str | None = N
             reader = spark.read.schema(schema) if schema else spark.read
             return reader.parquet(path)
     return None
-
-
-def file_sizes(spark: SparkSession, root: str) -> DataFrame:
-    """Path and length of every file below a folder; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return files.select(F.col("path"), F.col("length"))

@@ -22,8 +22,9 @@ def test_number_parsing(spark):
     assert column(spark, values, "string", numeric.to_number("v")) == [
         1.0, 2.5, 1000.0, -0.5, None, None, None, None, None, None, 3.0,
     ]
-    assert column(spark, ["7", "x", None], "string", numeric.number_or_zero("v")) == [7.0, 0.0, 0.0]
-    assert column(spark, [True, None], "boolean", numeric.number_or_zero(F.col("v").cast("int"))) == [1.0, 0.0]
+    for values, kind, expected in ((["7", "x", None], "string", [7.0, 0.0, 0.0]), ([True, None], "boolean", [1.0, 0.0]), ([2.5, float("nan")], "double", [2.5, 0.0])):
+        df = spark.createDataFrame([(v,) for v in values], f"v {kind}").coalesce(1)
+        assert [r[0] for r in df.select(numeric.number_or_zero(df, "v")).collect()] == expected
 
 
 def test_nan_becomes_null(spark):

@@ -166,7 +166,7 @@ def test_key_check_and_lookup(spark):
 def test_cooccurrence_with_repeats_and_hot_basket(spark):
     baskets = {0: ["a"] * 300 + ["b"] * 200, 1: ["a", "b", "c"], 2: ["c", "d"], 3: ["d"], 4: ["a", "a", "c"]}
     df = spark.createDataFrame([(k, i) for k, items in baskets.items() for i in items], "k int, item string")
-    expected = Counter()
+    expected = Counter({pair: 0 for pair in itertools.permutations("abcd", 2)})
     for items in baskets.values():
         n = Counter(items)
         for a, b in itertools.permutations(n, 2):
