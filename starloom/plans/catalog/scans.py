@@ -101,10 +101,9 @@ def _(t):
     table = materialize(classification.compared(classification.predicted(t)))
     best = S.best_model(table, "f1")
     classes = table.where(F.col("model") == best).select("accuracy", "f1", F.col("auc").alias("roc_auc"))
-    measured = clustering.C.evaluate(materialize(clustering.evaluation_matrix(t)), "job_id")
-    groups = measured.select(F.col("k").alias("optimal_k"), "silhouette", "davies_bouldin")
+    groups = clustering.C.evaluate(materialize(clustering.evaluation_matrix(t)), "job_id")
     found = rule_queries.R.rule_summary(materialize(rule_queries._rules(t)))
-    values = materialize(regression.compared(regression.predicted(t)))
+    values = materialize(regression.scores.regression_metrics(regression.predicted(t), "actual_value", "predicted_value", by=["model"]))
     best = S.best_model(values, "r2")
     values = values.where(F.col("model") == best).select("r2", "rmse", "mae", "mape")
     return scorecard({"classification": classes, "clustering": groups, "association_rules": found, "regression": values})
