@@ -73,9 +73,14 @@ def _(t):
     return rows.select("job_id", *[F.col("features")[i].alias(c) for i, c in enumerate(C.FALLBACK_FEATURES)])
 
 
-@query("clu_kmeans")
+@query("clu_kmeans", "SELECT DISTINCT job_id, true AS at_nearest FROM small_bridge")
 def _(t):
-    return clustered(t)[2].select("job_id", "cluster")
+    """Whether every basket is at the nearest centre of the fitted model; cluster numbers are not repeatable."""
+    _, model, labelled = clustered(t)
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+    distances = F.transform(centres, lambda c: C._distance(F.col("features"), c))
+    own = F.element_at(distances, F.col("cluster") + 1)
+    return labelled.select("job_id", (own <= F.array_min(distances) + 1e-9).alias("at_nearest"))
 
 
 @query("clu_best_k")
