@@ -180,4 +180,6 @@ def judge_quality(documents: DataFrame, rules: list[Rule]) -> DataFrame:
 def kept_documents(documents: DataFrame, rules: list[Rule]) -> DataFrame:
     """The rows of documents that pass, with their own columns, whatever these are called."""
     rows = documents.select(documents["text"].alias("_text"), F.struct(*[documents[c] for c in documents.columns]).alias("_row"))
-    return with_statistics(rows, "_text").where(~base_failed() & verdict(rules)).select("_row.*")
+    # A filter is not moved below a random column. Else the statistics would be copied into it, once for every use.
+    judged = with_statistics(rows, "_text").select("_row", (~base_failed() & verdict(rules)).alias("_kept"), F.rand(0).alias("_draw"))
+    return judged.where(F.col("_kept") & (F.col("_draw") >= 0)).select("_row.*")
