@@ -1,9 +1,10 @@
 """Near-duplicate documents: universal hash minima in bands, verified signatures and sets, and connected components.
 
 Documents with the same shingle set form a class, named by its smallest doc_id, and only classes are compared. In each
-bucket of a band, members are first compared with the bucket's smallest; what these links join needs no further test.
-Where members of one bucket are still in different components, all of them that their signatures allow are compared.
-So a large group of near copies costs one test for each member and bucket, and no link between components is left out.
+bucket of a band, members are first compared with its smallest and a few others; what these links join needs no further
+test. In the end all members of a bucket that are in different
+components, and whose signatures allow it, are compared. So a large group of near copies costs a few tests for each
+member and bucket, and no link between components is left out.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from starloom.llm.graph import components
 from starloom.llm.urls import bloom_filter, may_hold
 from starloom.session import materialize
 
-#: Signature bits packed in longs.
+#: Longs that hold one bit of every minimum; a signature has two such planes, so two bits of every minimum.
 SKETCH_LONGS = 4
 
 
@@ -33,13 +34,14 @@ class Settings:
     percent: int = 75
     bands: int = 48
     rows: int = 5
+    stars: int = 5
     seed: int = 7
 
     @property
-    def least_bits(self) -> int:
-        """Equal signature bits that a pair at the threshold reaches but for six standard deviations."""
-        n, p = self.bands * self.rows, (1 + self.percent / 100) / 2
-        return int(n * p - 6 * (n * p * (1 - p)) ** 0.5)
+    def least_equal(self) -> int:
+        """Minima with equal signature bits; a pair at the threshold has fewer with probability 3e-6 (4.5 deviations)."""
+        n, p = self.bands * self.rows, (1 + 3 * self.percent / 100) / 4
+        return int(n * p - 4.5 * (n * p * (1 - p)) ** 0.5)
 
 
 def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
@@ -99,8 +101,9 @@ def _signatures(sets: list[np.ndarray], s: Settings) -> tuple[np.ndarray, np.nda
             band = i // s.rows
             keys[band] = mix64(keys[band] * np.uint64(0x9E3779B97F4A7C15) + minima[i] + np.uint64(band + 1))
     # The lowest bits of a multiple follow those of the factor, so each minimum is mixed first.
-    bits = np.zeros((SKETCH_LONGS * 64, len(sets)), np.uint8)
-    bits[:n] = (mix64(minima.astype(np.uint64) + (np.arange(n, dtype=np.uint64) << np.uint64(32))[:, None]) & np.uint64(1)).astype(np.uint8)
+    bits, mixed = np.zeros((2, SKETCH_LONGS * 64, len(sets)), np.uint8), mix64(minima.astype(np.uint64) + (np.arange(n, dtype=np.uint64) << np.uint64(32))[:, None])
+    bits[0, :n], bits[1, :n] = mixed & np.uint64(1), (mixed >> np.uint64(1)) & np.uint64(1)
+    bits = bits.reshape(2 * SKETCH_LONGS * 64, len(sets))
     return keys.T.copy(), np.packbits(bits, axis=0).T.copy().view(np.int64)
 
 
@@ -127,16 +130,19 @@ def signatures(documents: DataFrame, s: Settings) -> DataFrame:
 
 
 def _agreeing(s: Settings):
-    equal = sum((64 - F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(SKETCH_LONGS)), F.lit(0)) - (SKETCH_LONGS * 64 - s.bands * s.rows)
-    sizes = 100 * F.least("x.n", "y.n") >= s.percent * F.greatest("x.n", "y.n")
-    return sizes & (equal >= s.least_bits)
+    """Whether the sizes and signatures of x and y allow the similarity."""
+
+    def differing(i: int):
+        return F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i]).bitwiseOR(F.col("x.bits")[i + SKETCH_LONGS].bitwiseXOR(F.col("y.bits")[i + SKETCH_LONGS])))
+
+    equal = s.bands * s.rows - sum((differing(i) for i in range(SKETCH_LONGS)), F.lit(0))
+    return (100 * F.least("x.n", "y.n") >= s.percent * F.greatest("x.n", "y.n")) & (equal >= s.least_equal)
 
 
 def verified(pairs: DataFrame, documents: DataFrame, s: Settings) -> DataFrame:
-    """Those of `pairs` (u, v) whose full shingle sets reach the similarity; only texts named in a pair are shuffled."""
-    pairs = materialize(pairs)
+    """Those of the stored `pairs` (u, v) whose full shingle sets reach the similarity; only texts named in a pair are shuffled."""
     named = pairs.select(F.col("u").alias("id")).union(pairs.select(F.col("v").alias("id"))).distinct()
-    blocks = 8192  # 512 KiB, whatever the number of ids: beyond it only more texts pass on to the exact join
+    blocks = 4096  # 256 KiB, whatever the number of ids: beyond it only more texts pass on to the exact join
     words = bloom_filter(named, "id", blocks).scalar()
     texts = documents.select(documents["doc_id"].cast("bigint").alias("id"), documents["text"]).where(may_hold(words, F.col("id"), blocks))
     right = pairs.join(texts, F.col("v") == F.col("id")).select("u", "v", F.col("text").alias("other"))
@@ -171,18 +177,21 @@ def near_duplicates(documents: DataFrame, s: Settings = Settings()) -> DataFrame
     buckets = members.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("most")).where("lead < most").select("key", "lead")
     shared = materialize(members.join(buckets, "key"))
     bits = materialize(reps.select("id", F.col("n_shingles").alias("n"), "bits").dropDuplicates(["id"]))
-    stars = shared.where("id != lead").select(F.col("lead").alias("u"), F.col("id").alias("v")).distinct()
-    likely = stars.join(bits.alias("x"), F.col("u") == F.col("x.id")).join(bits.alias("y"), F.col("v") == F.col("y.id")).where(_agreeing(s)).select("u", "v")
-    links = verified(likely, documents, s)
+    leads = F.array_distinct(F.array(F.first("lead"), *[F.min_by("id", F.xxhash64("id", F.lit(k))) for k in range(s.stars)]))
+    stars = shared.join(shared.groupBy("key").agg(leads.alias("leads")), "key").select("id", F.explode("leads").alias("lead")).where("id != lead")
+    stars = stars.select(F.least("id", "lead").alias("u"), F.greatest("id", "lead").alias("v")).distinct()
+    tried = materialize(stars.join(bits.alias("x"), F.col("u") == F.col("x.id")).join(bits.alias("y"), F.col("v") == F.col("y.id")).where(_agreeing(s)).select("u", "v"))
+    links = verified(tried, documents, s)
     joined = components(links)
     # Buckets whose members are not all joined by now, with what their signatures tell.
     placed = shared.select("key", "id").distinct().join(joined, "id", "left").withColumn("root", F.coalesce("root", "id"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
-    open_rows = materialize(placed.join(mixed, "key").join(bits, "id").select("key", "id", "root", "n", "bits"))
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root")) & _agreeing(s))
-    rest = rest.select(F.least("x.id", "y.id").alias("u"), F.greatest("x.id", "y.id").alias("v")).distinct().join(likely, ["u", "v"], "left_anti")
-    roots = components(links.union(verified(rest, documents, s)))
+    rows = materialize(placed.join(mixed, "key").join(bits, "id").select("key", "id", "root", "n", "bits"))
+    x, y = rows.alias("x"), rows.alias("y")
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root")) & _agreeing(s))
+    pairs = pairs.select(F.least("x.id", "y.id").alias("u"), F.greatest("x.id", "y.id").alias("v")).distinct()
+    fresh = verified(materialize(pairs.join(tried, ["u", "v"], "left_anti")), documents, s)
+    roots = joined if fresh.isEmpty() else components(links.union(fresh))
     named = classes.join(roots, "id", "left").select(F.col("one").alias("c1"), F.col("two").alias("c2"), F.col("n_shingles").alias("c3"), F.coalesce("root", "id").alias("root"))
     out = found.join(named, (F.col("one") == F.col("c1")) & (F.col("two") == F.col("c2")) & (F.col("n_shingles") == F.col("c3")) & (F.col("n_shingles") > 0), "left")
     component = F.coalesce("root", "doc_id")
