@@ -6,7 +6,7 @@ from check import compare, connect
 from starloom.plans.catalog import ORACLES, QUERIES
 
 # Fits that take long even on tiny data; their parts are tested in test_mining.py.
-SLOW = {"clu_best_k", "clu_evaluate", "clu_scatter", "clf_best", "clf_roc", "reg_best", "reg_gbt", "set_scorecard"}
+SLOW = {"clu_best_k", "clu_evaluate", "clu_scatter", "clf_best", "clf_roc", "reg_best", "reg_compare", "reg_gbt", "set_scorecard"}
 
 
 @pytest.fixture(scope="module")
