@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, extract, minhash, mixing, passages, personal, quality, urls, vectors
+from starloom.llm import bpe, extract, licences, minhash, mixing, passages, personal, quality, urls, vectors
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_suffix_dedup")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return passages.without_repeats(table(spark, folder, "documents"))
+
+
+@query("op5_license_scans")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents"))
