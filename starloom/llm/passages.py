@@ -37,10 +37,10 @@ LOW = np.uint64(0xFFFFFFFF)
 
 @dataclass(frozen=True)
 class Settings:
-    part_mb: int = 24  # text whose fingerprints, or which itself, one task holds, about
-    slice_bytes: int = 1 << 20
-    gathered: int = 1 << 20  # anchors that a task gathers before it deals them out
-    contexts: int = 1 << 15  # contexts whose strings are sorted at once
+    part_mb: int = 4  # text whose fingerprints, or which itself, one task holds, about
+    slice_bytes: int = 1 << 18
+    gathered: int = 1 << 18  # anchors that a task gathers before it deals them out
+    contexts: int = 1 << 13  # contexts whose strings are sorted at once
 
 
 @dataclass
@@ -340,7 +340,7 @@ def _compared(contexts: DataFrame, s: Settings) -> DataFrame:
         if held:
             yield flush(pa.Table.from_batches(held))
 
-    parts = max(1, -(-contexts.count() // (4 * s.contexts)))
+    parts = max(1, -(-contexts.count() // (8 * s.contexts)))
     ranged = contexts.select("lead", "context", "doc_id", "row", "first").repartitionByRange(parts, "lead").sortWithinPartitions("lead")
     return ranged.mapInArrow(run, "doc_id bigint, row bigint, start bigint, stop bigint")
 
@@ -348,7 +348,7 @@ def _compared(contexts: DataFrame, s: Settings) -> DataFrame:
 def _second_cut(documents: DataFrame, cut: DataFrame, more: DataFrame) -> DataFrame:
     """Documents that have stretches in `more`, cut by both kinds."""
     named = more.groupBy("doc_id", "row").agg(F.collect_list(F.struct("start", "stop")).alias("more"))
-    blocks = 8192  # 512 KiB, whatever the number of documents: beyond it only more texts pass on to the exact join
+    blocks = 4096  # 256 KiB, whatever the number of documents: beyond it only more texts pass on to the exact join
     words = bloom_filter(more.select(F.col("row").alias("id")).distinct(), "id", blocks).scalar()
     texts = documents.where(may_hold(words, F.col("row"), blocks))
     full = cut.where("lead IS NULL").groupBy(F.col("doc_id").alias("d"), F.col("row").alias("r")).agg(F.first("full").alias("full"))
