@@ -85,6 +85,8 @@ def cooccurrence(bridge: DataFrame, key: str, item: str, k: int = 15) -> DataFra
     counters = [f"_m{i}" for i in range(k)]
     per_key = counted.groupBy(key).agg(*[F.expr(f"count_if(_place = {i})").alias(c) for i, c in enumerate(counters)])
     pairs = cross_products(per_key, counters).where("i <> j").withColumn("_names", names.scalar())
+    # Counters beyond the number of items stay unused.
+    pairs = pairs.where("greatest(i, j) < size(_names)")
     return pairs.select(
         F.get("_names", F.col("i")).alias("item_a"),
         F.get("_names", F.col("j")).alias("item_b"),
