@@ -29,6 +29,16 @@ def uniform(key: Column, seed: int) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint").cast("double") + 0.5) / float(1 << 52)
 
 
+def hashed_sample(rows: DataFrame, most: int, *keys: str) -> DataFrame:
+    """At most `most` rows: those with the least hash of `keys`. Rows whose hash is far from the cut don't leave their
+    task, so what is gathered is about twice `most`, however many tasks there are."""
+    count = max(rows.count(), 1)
+    hashed = rows.withColumn("_hash", F.xxhash64(*keys))
+    # Bounds are in units of the whole range of the hash; four deviations make a short sample unlikely.
+    share = min(1.0, (most + 4 * most**0.5 + 8) / count)
+    return hashed.where(F.col("_hash") <= F.lit(min((1 << 63) - 1, int(-(1 << 63) + share * (1 << 64))))).orderBy("_hash", *keys).limit(most).drop("_hash")
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that the texts of one slice hold about `limit` bytes (or one text), to bound memory in tasks."""
     for batch in batches:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import text_slices
+from starloom.llm.common import hashed_sample, text_slices
 from starloom.llm.lstm import Adam, both_ways, both_ways_gradients, first_weights
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<", re.S)
@@ -206,8 +206,8 @@ def label_pages(pages: list[list[Block]], weights: dict, cells: int = 1 << 14) -
 
 def fitted(pages: DataFrame, most: int = 256, longest: int = 200_000) -> dict[str, np.ndarray]:
     """The labeller trained on at most `most` pages of at most `longest` characters: those with the least hash."""
-    usable = pages.where(F.length("html") <= longest).select("html", F.xxhash64("html").alias("h")).where(F.col("h").isNotNull() & F.col("html").isNotNull())
-    return train([r["html"] for r in usable.orderBy("h", "html").limit(most).collect()])
+    usable = pages.where((F.length("html") <= longest) & F.col("html").isNotNull()).select("html")
+    return train([r["html"] for r in hashed_sample(usable, most, "html").collect()])
 
 
 def main_text(pages: DataFrame, weights: dict) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import text_slices
+from starloom.llm.common import hashed_sample, text_slices
 from starloom.llm.lstm import Adam, both_ways, both_ways_gradients, crf_gradients, first_weights, viterbi
 
 KINDS = ("email", "ip", "card", "phone")
@@ -197,11 +197,12 @@ def all_spans(texts: list[str], weights: dict) -> list[list[tuple[str, int, int,
     return out
 
 
-def labelled_windows(documents: DataFrame, most: int = 1500) -> list[tuple[str, list[tuple[str, int, int]]]]:
-    """At most `most` windows around stretches with the base spans in them: those with the least hash of their text.
+def labelled_windows(documents: DataFrame, most: int = 1500, texts: int = 6000) -> list[tuple[str, list[tuple[str, int, int]]]]:
+    """At most `most` windows around stretches with the base spans in them, taken from at most `texts` documents.
 
-    Every eighth phone loses its plus sign and every eighth card has its digits set apart, so that the network learns
-    more than the patterns.
+    Documents are those with the least hash of their text among those that hold a digit or an @, windows those with the
+    least hash of their own, with the labelled ones and half of the others first. Every eighth phone loses its plus
+    sign and every eighth card has its digits set apart, so that the network learns more than the patterns.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +217,8 @@ def labelled_windows(documents: DataFrame, most: int = 1500) -> list[tuple[str,
                         marks.append([f"{k}:{x}:{y}" for k, x, y in spans])
             yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.string()), pa.array(marks, pa.list_(pa.string()))], ["piece", "marks"])
 
-    found = documents.select(documents["text"]).where(F.col("text").rlike("[0-9@]")).mapInArrow(run, "piece string, marks array<string>")
+    usable = documents.select(documents["text"]).where(F.col("text").rlike("[0-9@]"))
+    found = hashed_sample(usable, texts, "text").mapInArrow(run, "piece string, marks array<string>")
     chosen = found.withColumn("h", F.xxhash64("piece")).distinct().orderBy((F.size("marks") == 0).cast("int") * F.abs(F.col("h") % 2), "h", "piece").limit(most).collect()
     out = []
     for n, row in enumerate(chosen):
