@@ -2,8 +2,8 @@
 
 Equal vectors form a class first. Shards hold a bounded number of classes, so their number follows the data; each shard's
 graph is built once, and each block of queries meets it in one task of bounded size. A query's beam is widened until
-its worst entry is no link; then a sample of the block is compared with the whole shard, and all beams are widened
-again until the sample's recall passes.
+its worst entry is no link. The beam it starts with is the least with which a sample of the block finds the nearest
+nodes of the whole shard, links or not, with the recall asked for.
 """
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ from starloom.llm import hnsw
 from starloom.llm.graph import components
 from starloom.session import materialize
 
+#: Nodes compared one after the other in the time of one place of a beam, about: 32 links, each gathered singly.
+BEAM_NODES = 256
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -28,6 +31,7 @@ class Settings:
     block: int = 16_384  # queries in a task at most, about
     beam: int = 32
     audited: int = 48  # queries of a block compared with the whole shard
+    nearest: int = 10  # nodes of the shard that each of these has to find
     recall: float = 0.99
 
 
@@ -38,17 +42,30 @@ def _units(packed: pd.Series) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
+def _exact(shard: np.ndarray, queries: np.ndarray, part: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, node) pairs of some queries, from all cosines."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for at in range(0, len(part), 256):
+        q, n = np.nonzero(queries[part[at : at + 256]] @ shard.T >= least)
+        left.append(part[at + q])
+        right.append(n)
+    return np.concatenate(left), np.concatenate(right)
+
+
 def _found(graph: hnsw.Graph, shard: np.ndarray, queries: np.ndarray, beam: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) pairs with cosine >= least; the beam of a query widens while its worst entry may be a link."""
+    """(query, node) pairs with cosine >= least; the beam of a query widens while its worst entry may be a link.
+
+    A beam that takes longer than all cosines gives way to them; they also reach what no path leads to.
+    """
     rough = queries.astype(np.float32)
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     waiting = np.arange(len(queries))
-    while len(waiting):
+    while len(waiting) and BEAM_NODES * beam < len(shard):
         wider = []
         for at in range(0, len(waiting), max(16, (1 << 14) // beam)):
             part = waiting[at : at + max(16, (1 << 14) // beam)]
             ids, sims = graph.search(rough[part], beam)
-            full = (sims[:, -1] >= least - 0.01) if ids.shape[1] < len(shard) else np.zeros(len(part), bool)
+            full = sims[:, -1] >= least - 0.01
             wider.append(part[full])
             row, place = np.nonzero((sims >= least - 1e-3) & ~full[:, None])
             q, n = part[row], ids[row, place]
@@ -58,19 +75,39 @@ def _found(graph: hnsw.Graph, shard: np.ndarray, queries: np.ndarray, beam: int,
                 left.append(a[exact])
                 right.append(b[exact].astype(np.int64))
         waiting, beam = np.concatenate(wider), beam * 4
-    return np.concatenate(left), np.concatenate(right)
+    more = _exact(shard, queries, waiting, least)
+    return np.concatenate([*left, more[0]]), np.concatenate([*right, more[1]])
 
 
-def audited_links(graph: hnsw.Graph, shard: np.ndarray, queries: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Links of all queries, with the beam widened until a sample of queries has the recall asked for."""
+def _nearest_found(graph: hnsw.Graph, shard: np.ndarray, queries: np.ndarray, s: Settings) -> Iterator[tuple[int, float]]:
+    """Beams, each twice the last, and the share of the `nearest` nodes of each query that a search with it meets.
+
+    A query's own node is no neighbour, neither sought nor counted; of nodes equally near any will do.
+    """
+    sims = queries @ shard.T
+    row, node = np.nonzero(sims >= 1 - 1e-9)
+    same = (queries[row] == shard[node]).all(1)
+    own = [set(node[same & (row == k)].tolist()) for k in range(len(queries))]
+    sims[row[same], node[same]] = -2
+    width = min(s.nearest, len(shard))
+    bound = -np.partition(-sims, width - 1, axis=1)[:, width - 1]
+    bound[bound < -1.5] = -1.5  # fewer nodes than sought
+    true = np.minimum(width, (sims >= bound[:, None]).sum(1))
     beam = s.beam
-    sample = np.unique(np.linspace(0, len(queries) - 1, min(len(queries), s.audited)).astype(int))
-    true = int(((queries[sample] @ shard.T) >= s.least).sum())
-    while True:
-        got = len(_found(graph, shard, queries[sample], beam, s.least)[0])
-        if got >= s.recall * true or beam >= len(shard):
-            return _found(graph, shard, queries, beam, s.least)
+    while BEAM_NODES * beam < len(shard):
+        ids, _ = graph.search(queries.astype(np.float32), beam)
+        met = [sum(sims[k, n] >= bound[k] - 1e-6 for n in set(ids[k].tolist()) - own[k] - {hnsw.NONE}) for k in range(len(queries))]
+        yield beam, np.minimum(met, true).sum() / max(1, true.sum())
         beam *= 2
+    yield beam, 1.0
+
+
+def audited_links(graph: hnsw.Graph, shard: np.ndarray, queries: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Links of all queries, with the beam widened until a sample of queries finds its nearest nodes with the recall
+    asked for. These exist in every shard, so that the sample needs no links to judge the search."""
+    sample = np.unique(np.linspace(0, len(queries) - 1, min(len(queries), s.audited)).astype(int))
+    beam = next(beam for beam, recall in _nearest_found(graph, shard, queries[sample], s) if recall >= s.recall)
+    return _found(graph, shard, queries, beam, s.least)
 
 
 def _roots(left: np.ndarray, right: np.ndarray) -> dict[int, int]:

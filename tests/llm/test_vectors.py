@@ -72,3 +72,19 @@ def test_recall_of_the_graph(spark, small):
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     left, _ = vectors.audited_links(hnsw.build(x.astype(np.float32)), x, x, vectors.Settings())
     assert len(left) >= 0.95 * int((x @ x.T >= 0.95).sum())
+
+
+def test_audit_without_links_in_the_sample():
+    """Real links, none of them with the query itself or in the audited sample, in a graph that hides many nodes."""
+    draw = np.random.default_rng(5)
+    shard = draw.standard_normal((12_000, 16))
+    queries = shard[:3000] + 0.03 * draw.standard_normal((3000, 16))
+    audited = np.unique(np.linspace(0, 2999, 48).astype(int))
+    queries[audited] = draw.standard_normal((len(audited), 16))
+    shard, queries = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (shard, queries))
+    graph = hnsw.build(shard.astype(np.float32), degree=3, beam=4)
+    truth = set(zip(*(x.tolist() for x in np.nonzero(queries @ shard.T >= 0.95)), strict=True))
+    assert len(truth) > 2900 and not {q for q, _ in truth} & set(audited.tolist())
+    assert len(vectors._found(graph, shard, queries, 32, 0.95)[0]) < 0.9 * len(truth)
+    found = set(zip(*(x.tolist() for x in vectors.audited_links(graph, shard, queries, vectors.Settings())), strict=True))
+    assert found <= truth and len(found) >= 0.98 * len(truth)
