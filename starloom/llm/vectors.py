@@ -1,14 +1,14 @@
 """Near-duplicate vectors: a navigable small-world graph for each shard, every shard asked, cosine verified.
 
 Equal vectors form a class first. Shards hold a bounded number of classes, so their number follows the data; each shard's
-graph is built once, and each block of queries meets it in one task of bounded size. A query's beam is widened until
+graph is built once, and each pair of shards meets in one task of bounded size, where each side searches the other. A query's beam is widened until
 its worst entry is no link. The beam it starts with is the least with which a sample of the block finds the nearest
 nodes of the whole shard, links or not, with the recall asked for.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +28,7 @@ BEAM_NODES = 256
 class Settings:
     least: float = 0.95
     shard: int = 32_768  # classes in a shard at most, about
-    block: int = 16_384  # queries in a task at most, about
+    block: int = 16_384  # queries searched and audited at once
     beam: int = 32
     audited: int = 48  # queries of a block compared with the whole shard
     nearest: int = 10  # nodes of the shard that each of these has to find
@@ -110,7 +110,7 @@ def audited_links(graph: hnsw.Graph, shard: np.ndarray, queries: np.ndarray, s:
     return _found(graph, shard, queries, beam, s.least)
 
 
-def _roots(left: np.ndarray, right: np.ndarray) -> dict[int, int]:
+def _roots(pairs: Iterable[tuple[np.ndarray, np.ndarray]]) -> dict[int, int]:
     """The smallest number of the local component of each linked number."""
     root: dict[int, int] = {}
 
@@ -120,13 +120,54 @@ def _roots(left: np.ndarray, right: np.ndarray) -> dict[int, int]:
             x = root[x]
         return x
 
-    for a, b in zip(left.tolist(), right.tolist(), strict=True):
-        a, b = find(a), find(b)
-        if a != b:
-            root[max(a, b)] = min(a, b)
+    for left, right in pairs:
+        for a, b in zip(left.tolist(), right.tolist(), strict=True):
+            a, b = find(a), find(b)
+            if a != b:
+                root[max(a, b)] = min(a, b)
     return {x: find(x) for x in root}
 
 
+@dataclass
+class Shard:
+    ids: np.ndarray
+    sizes: np.ndarray  # rows of each class
+    x: np.ndarray
+    graph: hnsw.Graph
+
+
+def pair_links(a: Shard, b: Shard | None, s: Settings) -> tuple[list[np.ndarray], dict[int, int]]:
+    """Rows linked with each class of a (and of b) across the two shards, or inside a alone, and local roots.
+
+    Each side's vectors search the other side's graph; a link that only one of the searches finds counts at both ends.
+    Links are held as bits, so that memory does not depend on their number.
+    """
+    other = a if b is None else b
+    bits = np.zeros((len(a.x), -(-len(other.x) // 8)), np.uint8)
+    for queries, shard in ((a, other), (b, a))[: 1 if b is None else 2]:
+        for at in range(0, len(queries.x), s.block):
+            left, right = audited_links(shard.graph, shard.x, queries.x[at : at + s.block], s)
+            left = left + at
+            ends = [(left, right)] if queries is a else [(right, left)]
+            for row, column in ends + [(right, left)] * (b is None):
+                np.bitwise_or.at(bits, (row, column >> 3), (128 >> (column & 7)).astype(np.uint8))
+    counts = [np.zeros(len(side.x)) for side in ((a,) if b is None else (a, b))]
+
+    def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for at in range(0, len(bits), 64):
+            row, column = np.nonzero(np.unpackbits(bits[at : at + 64], axis=1, count=len(other.x)))
+            row = row + at
+            apart = a.ids[row] != other.ids[column]
+            row, column = row[apart], column[apart]
+            counts[0] += np.bincount(row, weights=other.sizes[column], minlength=len(a.x))
+            if b is not None:
+                counts[1] += np.bincount(column, weights=a.sizes[row], minlength=len(b.x))
+            yield a.ids[row], other.ids[column]
+
+    root = _roots(pairs())
+    return [c.astype(np.int64) for c in counts], root
+
+
 def near_vectors(rows: DataFrame, s: Settings = Settings()) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of rows (vec_id, embedding); repeated rows stay.
 
@@ -149,44 +190,44 @@ def near_vectors(rows: DataFrame, s: Settings = Settings()) -> DataFrame:
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"id": b["id"], "n": b["n"], "d": b["d"], "shard": b["shard"], "block": b["block"], "shards": b["shards"], "blocks": b["blocks"], "x": [np.asarray(v, np.float64).tobytes() for v in b["v"]]})
+            yield pd.DataFrame({"id": b["id"], "n": b["n"], "d": b["d"], "shard": b["shard"], "shards": b["shards"], "x": [np.asarray(v, np.float64).tobytes() for v in b["v"]]})
 
-    placed = classes.select("id", "n", "v", F.size("v").alias("d"), parts(s.shard).cast("int").alias("shards"), parts(s.block).cast("int").alias("blocks"))
-    placed = placed.withColumn("shard", F.pmod(F.xxhash64("v", F.lit("shard")), F.col("shards")).cast("int")).withColumn("block", F.pmod(F.xxhash64("v", F.lit("block")), F.col("blocks")).cast("int"))
-    packed = materialize(placed.mapInPandas(pack, "id bigint, n bigint, d int, shard int, block int, shards int, blocks int, x binary"))
+    placed = classes.select("id", "n", "v", F.size("v").alias("d"), parts(s.shard).cast("int").alias("shards"))
+    placed = placed.withColumn("shard", F.pmod(F.xxhash64("v", F.lit("shard")), F.col("shards")).cast("int"))
+    packed = materialize(placed.mapInPandas(pack, "id bigint, n bigint, d int, shard int, shards int, x binary"))
 
     def index(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values(["id", "n"], ignore_index=True)
         graph = hnsw.build(_units(own["x"]).astype(np.float32))
         layers = b"".join(np.array([len(nodes), links.shape[1]], np.int32).tobytes() + nodes.tobytes() + links.tobytes() for nodes, links in graph.layers)
-        columns = {"d": [key[0]], "shard": [key[1]], "blocks": [own["blocks"][0]], "ids": [own["id"].to_numpy(np.int64).tobytes()], "sizes": [own["n"].to_numpy(np.int64).tobytes()]}
+        columns = {"d": [key[0]], "shard": [key[1]], "shards": [own["shards"][0]], "ids": [own["id"].to_numpy(np.int64).tobytes()], "sizes": [own["n"].to_numpy(np.int64).tobytes()]}
         return pd.DataFrame(columns | {"x": [b"".join(own["x"])], "layers": [layers]})
 
-    graphs = materialize(packed.groupBy("d", "shard").applyInPandas(index, "d int, shard int, blocks int, ids binary, sizes binary, x binary, layers binary"))
-    asked = packed.select("id", "n", "d", "block", "x", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
-    offered = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    graphs = materialize(packed.groupBy("d", "shard").applyInPandas(index, "d int, shard int, shards int, ids binary, sizes binary, x binary, layers binary"))
+    # Each pair of shards meets in one task, a shard with itself too.
+    partner = F.explode(F.sequence(F.lit(0), F.col("shards") - 1))
+    met = graphs.select("*", partner.alias("partner")).select("d", F.least("shard", "partner").alias("a"), F.greatest("shard", "partner").alias("b"), "shard", "ids", "sizes", "x", "layers")
 
-    def ask(key: tuple, queries: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(shard):
-            return pd.DataFrame({"id": [], "links": [], "root": []})
-        ids, sizes = np.frombuffer(shard["ids"][0], np.int64), np.frombuffer(shard["sizes"][0], np.int64)
-        x, flat, layers, at = _units(pd.Series([shard["x"][0][k : k + 8 * key[0]] for k in range(0, len(shard["x"][0]), 8 * key[0])])), np.frombuffer(shard["layers"][0], np.int32), [], 0
+    def unpack(row: pd.Series, d: int) -> Shard:
+        x, flat, layers, at = row["x"], np.frombuffer(row["layers"], np.int32), [], 0
+        x = _units(pd.Series([x[k : k + 8 * d] for k in range(0, len(x), 8 * d)]))
         while at < len(flat):
             n, width = flat[at : at + 2].tolist()
             layers.append((flat[at + 2 : at + 2 + n], flat[at + 2 + n : at + 2 + n + n * width].reshape(n, width)))
             at += 2 + n + n * width
-        queries = queries.sort_values(["id", "n"], ignore_index=True)
-        own = queries["id"].to_numpy(np.int64)
-        left, right = audited_links(hnsw.Graph(x.astype(np.float32), layers), x, _units(queries["x"]), s)
-        other = own[left] != ids[right]
-        left, right = left[other], right[other]
-        links = np.bincount(left, weights=sizes[right].astype(float), minlength=len(own)).astype(np.int64)
-        root = _roots(own[left], ids[right])
+        return Shard(np.frombuffer(row["ids"], np.int64), np.frombuffer(row["sizes"], np.int64), x, hnsw.Graph(x.astype(np.float32), layers))
+
+    def ask(key: tuple, sides: pd.DataFrame) -> pd.DataFrame:
+        shards = [unpack(row, key[0]) for _, row in sides.sort_values("shard").iterrows()]
+        # A hash may leave a shard without classes; its partner then comes alone and has nothing to ask.
+        if key[1] != key[2] and len(shards) < 2:
+            return pd.DataFrame({"id": [], "links": [], "root": []})
+        counts, root = pair_links(shards[0], shards[1] if len(shards) > 1 else None, s)
+        own = np.concatenate([side.ids for side in shards])
         more = [i for i in root if root[i] != i]
-        return pd.DataFrame({"id": np.concatenate([own, np.array(more, np.int64)]), "links": np.concatenate([links, np.zeros(len(more), np.int64)]), "root": np.concatenate([own, np.array([root[i] for i in more], np.int64)])})
+        return pd.DataFrame({"id": np.concatenate([own, np.array(more, np.int64)]), "links": np.concatenate([*counts, np.zeros(len(more), np.int64)]), "root": np.concatenate([own, np.array([root[i] for i in more], np.int64)])})
 
-    keys = ["d", "shard", "block"]
-    answers = materialize(asked.groupBy(*keys).cogroup(offered.groupBy(*keys)).applyInPandas(ask, "id bigint, links bigint, root bigint"))
+    answers = materialize(met.groupBy("d", "a", "b").applyInPandas(ask, "id bigint, links bigint, root bigint"))
     joined = components(answers.where("id != root").select(F.col("id").alias("u"), F.col("root").alias("v")))
     linked = answers.groupBy("id").agg(F.sum("links").alias("links"))
     named = classes.select(F.col("v").alias("w"), "id", "n").join(linked, "id", "left").join(joined, "id", "left").select("w", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("root", "id").alias("root"))

@@ -1,5 +1,7 @@
 """Near vectors against all pairs."""
 
+import sys
+
 import numpy as np
 
 from starloom.llm import hnsw, vectors
@@ -88,3 +90,26 @@ def test_audit_without_links_in_the_sample():
     assert len(vectors._found(graph, shard, queries, 32, 0.95)[0]) < 0.9 * len(truth)
     found = set(zip(*(x.tolist() for x in vectors.audited_links(graph, shard, queries, vectors.Settings())), strict=True))
     assert found <= truth and len(found) >= 0.98 * len(truth)
+
+
+def test_links_found_one_way_count_at_both_ends(spark, monkeypatch):
+    """A search that finds a link from one of its ends only, in one shard and across shards."""
+    from pyspark import cloudpickle
+
+    whole = vectors.audited_links
+
+    def one_way(graph, shard, queries, s):
+        left, right = whole(graph, shard, queries, s)
+        seen = queries[left, 0] <= shard[right, 0]
+        return left[seen], right[seen]
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    monkeypatch.setattr(vectors, "audited_links", one_way)
+    draw = np.random.default_rng(8)
+    centres = draw.standard_normal((40, 12))
+    rows = [(k, (centres[k % 40] + 0.1 * draw.standard_normal(12)).tolist()) for k in range(200)]
+    rows += [(200 + k, rows[k][1]) for k in range(3)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    for size in (500, 60):
+        assert _found(vectors.near_vectors(df, vectors.Settings(shard=size, block=50))) == _brute(rows)
+    cloudpickle.unregister_pickle_by_value(sys.modules[__name__])
