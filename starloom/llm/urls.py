@@ -27,6 +27,23 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, URL, 2), F.lit(""))
 
 
+def _unescaped(part: Column) -> Column:
+    """Percent escapes decoded once; a % that begins none, and +, stay as they are."""
+    plain = F.regexp_replace(F.regexp_replace(part, "%(?![0-9A-Fa-f]{2})", "%25"), r"\+", "%2B")
+    return F.coalesce(F.try_url_decode(plain), part)
+
+
+def canonical_host(host: Column) -> Column:
+    """Host without user part, port and trailing dots, escapes decoded, A-Z lower-cased."""
+    name = _unescaped(F.regexp_replace(F.regexp_replace(host, "(?s)^.*@", ""), ":[0-9]*$", ""))
+    return F.regexp_replace(F.translate(name, UPPER, LOWER), r"\.+$", "")
+
+
+def canonical_path(path: Column) -> Column:
+    """Path with its escapes decoded."""
+    return _unescaped(path)
+
+
 def _bit(key: Column, i: int) -> Column:
     """The i-th bit of a key inside its block of 512 bits."""
     return F.shiftrightunsigned(F.xxhash64(key, F.lit("bits")), 9 * i).bitwiseAND(511).cast("int")
@@ -55,12 +72,13 @@ def may_hold(words: Column, key: Column, blocks: int) -> Column:
     return found
 
 
-def with_listing(urls: DataFrame, url: str, listed: DataFrame, bits_per_key: int = 16, most_blocks: int = 2048) -> DataFrame:
+def with_listing(urls: DataFrame, url: str, listed: DataFrame, bits_per_key: int = 16, most_blocks: int = 2048, canonical: bool = False) -> DataFrame:
     """Distinct (host, path) of `urls` with the longest fitting entry of `listed` (host, path, verdict).
 
     Returns host, path, rule, verdict; rule and verdict are null where nothing fits. The longest entry is that with
     the longest host and path together, then the longer host; an entry listed with two verdicts blocks. Null URLs and
-    URLs without `://` have empty host and path, which no entry fits. Entries with a null host or path are ignored.
+    URLs without `://` have empty host and path, which no entry fits. With `canonical`, entries are fitted to the
+    canonical host and path (user part, port and trailing dots left out, escapes decoded); those returned are as written. Entries with a null host or path are ignored.
     An empty list fits nothing. The filter has at most `most_blocks` blocks of 64 bytes (128 KiB by default): a longer
     list only makes it less selective. The number of distinct label counts and path lengths of the list (both bounded
     by the length of a URL) is read on the driver; its entries are not.
@@ -76,12 +94,13 @@ def with_listing(urls: DataFrame, url: str, listed: DataFrame, bits_per_key: int
     blocks = min(most_blocks, max(1, -(-shape["n"] * bits_per_key // 512)))
     words = bloom_filter(entries, "rule", blocks).scalar()
     parts = urls.select(url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path")).distinct()
-    label = F.split("host", r"\.")
+    parts = parts.withColumns({"probe": canonical_host(F.col("host")), "route": canonical_path(F.col("path"))} if canonical else {"probe": F.col("host"), "route": F.col("path")})
+    label = F.split("probe", r"\.")
     kind = F.array([F.struct(F.lit(a).alias("labels"), F.lit(b).alias("size")) for a, b in kinds])
     candidates = F.transform(
-        F.filter(kind, lambda k: (F.size("label") >= k["labels"]) & (F.length("path") >= k["size"])),
+        F.filter(kind, lambda k: (F.size("label") >= k["labels"]) & (F.length("route") >= k["size"])),
         lambda k: F.struct(
-            F.concat(F.array_join(F.slice("label", F.size("label") - k["labels"] + 1, k["labels"]), "."), F.substring(F.col("path"), F.lit(1), k["size"])).alias("key"),
+            F.concat(F.array_join(F.slice("label", F.size("label") - k["labels"] + 1, k["labels"]), "."), F.substring(F.col("route"), F.lit(1), k["size"])).alias("key"),
             k["labels"].alias("labels"),
             k["size"].alias("size"),
         ),
@@ -104,10 +123,11 @@ def with_listing(urls: DataFrame, url: str, listed: DataFrame, bits_per_key: int
 def judge_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, default: str = "allow") -> DataFrame:
     """Every row of pages (page_id, url) with host, path, the longest fitting rule and a verdict.
 
-    The verdict is the rule's, else that of the longest fitting entry of `listed`, else `default`. Repeated rows stay.
+    The verdict is the rule's, else that of the longest entry of `listed` that fits its canonical form, else `default`.
+    Repeated rows stay.
     """
     first = with_listing(pages, "url", rules)
-    second = with_listing(pages, "url", listed).select("host", "path", F.col("verdict").alias("listed_verdict"))
+    second = with_listing(pages, "url", listed, canonical=True).select("host", "path", F.col("verdict").alias("listed_verdict"))
     return (
         pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
         .join(first, ["host", "path"], "left")

@@ -65,3 +65,14 @@ def test_whole_table(spark, small):
     pages = {r.page_id: r.url for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
     spam = [(h, "/", "block") for h in LISTED_HOSTS]
     assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in QUERIES["op3_url_filters"](spark, small).collect()} == {k: _plain(u, URL_RULES, spam) for k, u in pages.items()}
+
+
+def test_listed_entries_fit_the_canonical_form(spark):
+    spam = ["http://pills.net:8080/", "http://me@pills.net/", "http://u:p@w.pills.net:80/x", "http://pills.net./", "http://p%69lls.NET/", "http://pills%2Enet%2e/a", "http://deals.net/b%61d/1", "http://deals.net/%zz/../", "http://deals.net/a+b"]
+    fair = ["http://pills.net.org/", "http://pills.net@fair.org/", "http://xpills.net/", "http://deals.net/%62%61", "http://fair.org/?u=http://pills.net/"]
+    pages = spark.createDataFrame(list(enumerate(spam + fair)), "page_id bigint, url string")
+    schema = "host string, path string, verdict string"
+    listed = spark.createDataFrame([("pills.net", "/", "block"), ("deals.net", "/bad", "block"), ("deals.net", "/%zz", "block"), ("deals.net", "/a+b", "block")], schema)
+    found = {r.page_id: r for r in urls.judge_urls(pages, spark.createDataFrame([("com", "/", "allow")], schema), listed).collect()}
+    assert [found[k].verdict for k in range(len(spam + fair))] == ["block"] * len(spam) + ["allow"] * len(fair)
+    assert (found[2].host, found[6].path) == ("u:p@w.pills.net:80", "/b%61d/1")
