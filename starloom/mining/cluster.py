@@ -136,6 +136,17 @@ def silhouette(labelled: DataFrame, key: str, n: int = 2000, seed: int = 42) ->
     )
 
 
+def _measured_models(rows: DataFrame, key: str, k_values: Sequence[int], measured: int, restarts: int) -> list[tuple[int, float, KMeansModel]]:
+    """k, silhouette and model for each k."""
+
+    def measure(k: int) -> tuple[int, float, KMeansModel]:
+        model = fit_kmeans(rows, k, restarts)
+        return k, silhouette(assign(model, rows), key, measured).first()["silhouette"], model
+
+    with ThreadPool(len(k_values)) as pool:
+        return pool.map(measure, k_values)
+
+
 def choose_k(
     matrix: DataFrame,
     key: str,
@@ -146,14 +157,16 @@ def choose_k(
 ) -> DataFrame:
     """Silhouette per k on all rows, or on a seeded sample of so many, one row per k."""
     rows = materialize(sample_rows(matrix, key, sample) if sample else matrix)
+    scores = [(k, score) for k, score, _ in _measured_models(rows, key, k_values, measured, restarts)]
+    return matrix.sparkSession.createDataFrame(scores, "k int, silhouette double")
 
-    def measure(k: int) -> tuple[int, float]:
-        labelled = assign(fit_kmeans(rows, k, restarts), rows)
-        return k, silhouette(labelled, key, measured).first()["silhouette"]
 
-    with ThreadPool(len(k_values)) as pool:
-        scores = pool.map(measure, k_values)
-    return matrix.sparkSession.createDataFrame(scores, "k int, silhouette double")
+def best_model(
+    matrix: DataFrame, key: str, k_values: Sequence[int] = (2, 3, 4, 5), measured: int = 2000, restarts: int = 10
+) -> KMeansModel:
+    """The model of the k that `best_k` takes from `choose_k` on all rows."""
+    models = _measured_models(materialize(matrix), key, k_values, measured, restarts)
+    return max(models, key=lambda m: (m[1], -m[0]))[2]
 
 
 def best_k(scores: DataFrame) -> int:

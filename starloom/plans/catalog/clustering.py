@@ -46,9 +46,10 @@ def evaluation_matrix(t):
     return C.category_matrix(t.small_bridge, None, "job_id", "skill_abr", 50)
 
 
-def clustered(t, k=4, restarts=10):
-    rows = matrix(t)
-    model = C.fit_kmeans(rows, k, restarts)
+def clustered(t, k=None, restarts=10):
+    """The matrix, the model with k clusters, or with as many as have the best silhouette, and the labelled rows."""
+    rows = materialize(matrix(t))
+    model = C.best_model(rows, "job_id", restarts=restarts) if k is None else C.fit_kmeans(rows, k, restarts)
     return rows, model, materialize(C.assign(model, rows))
 
 

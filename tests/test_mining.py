@@ -141,6 +141,16 @@ def test_kmeans_finds_blobs_and_k(spark):
     assert cluster.best_k(table) == 3
 
 
+def test_clusters_of_the_catalogue_have_the_best_k(spark, monkeypatch):
+    from starloom.plans.catalog import clustering
+
+    df, _, labels = blobs(spark)
+    monkeypatch.setattr(clustering, "matrix", lambda t: df.select(F.col("id").alias("job_id"), "features"))
+    _, model, labelled = clustering.clustered(None, restarts=2)
+    assert len(model.clusterCenters()) == 3
+    assert len({(int(labels[r["job_id"]]), r["cluster"]) for r in labelled.collect()}) == 3
+
+
 def test_repeated_rows_weigh_in_kmeans(spark):
     rows = [(i, [0.0]) for i in range(98)] + [(98, [1.0]), (99, [10.0])]
     df = spark.createDataFrame(rows, "id bigint, features array<double>")
