@@ -25,7 +25,13 @@ from starloom.llm.lstm import Adam, both_ways, both_ways_gradients, first_weight
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<", re.S)
 #: Elements of HTML by their role: fixed values.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul".split())
-UNREAD = frozenset("head iframe noembed noframes noscript object script style svg template textarea title math canvas audio video button select".split())
+UNREAD = frozenset("head iframe noembed noframes noscript object script style svg template textarea title canvas audio video button select".split())
+#: What an unclosed one of these takes is the rest of the page; other unread elements are ordinary open ones if unclosed.
+RAW = frozenset("script style textarea title".split())
+#: Elements that don't hold one of their own kind.
+SINGLE = frozenset("audio button canvas noscript select video".split())
+#: Elements that can stand in a head; the first other tag or text ends an unclosed one.
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCKS - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "legend", "summary"}
 #: Landmarks that label training pages, and class or id words that do: fixed values.
@@ -43,11 +49,26 @@ class Block:
     linked: int  # characters inside links
 
 
+def _head_end(html: str, at: int) -> int:
+    """Where a head without a closing tag ends: at the first tag or text that cannot stand in it."""
+    while at < len(html):
+        m = TOKEN.match(html, at)
+        name = (m[2] or m[5] or "").lower()
+        if name and name not in HEAD or not name and (m[0][0] != "<" or m[0] == "<") and m[0].strip():
+            return at
+        at = m.end()
+        if name in HEAD - VOID and not (m[1] or m[4]):
+            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
+            at = end.end() if end else len(html) if name in RAW else at
+    return at
+
+
 def blocks_of(html: str) -> list[Block]:
     """The leaf blocks that hold text, in page order. Unclosed and stray tags are read as browsers do, in outline."""
     out: list[Block] = []
     stack: list[tuple[str, ...]] = []
     parts: list[str] = []
+    ends: dict[str, tuple[int, int]] = {}  # the next closing tag of each unread element
     linked, at = 0, 0
 
     def flush() -> None:
@@ -82,12 +103,17 @@ def blocks_of(html: str) -> list[Block]:
         if name in UNREAD:
             if m[0].endswith("/>"):
                 continue
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
-            # An unclosed head ends where the body begins; other unclosed ones take the rest.
-            if end is None and name == "head":
-                end = re.compile(r"(?=<body\b)", re.I).search(html, at)
-            at = end.end() if end else len(html)
-            continue
+            if name not in ends or -1 < ends[name][0] < at:
+                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
+                ends[name] = end.span() if end else (-1, -1)
+            # A second opening tag before the closing one means that the first is unclosed.
+            again = name in SINGLE and ends[name][0] >= 0 and re.compile(rf"<{name}[\s/>]", re.I).search(html, at, ends[name][0])
+            if (ends[name][0] >= 0 and not again) or name in RAW:
+                at = ends[name][1] if ends[name][0] >= 0 else len(html)
+                continue
+            if name == "head":
+                at = _head_end(html, at)
+                continue
         if name in BLOCKS:
             flush()
             if name in CLOSES_P and any(s[0] == "p" for s in stack):

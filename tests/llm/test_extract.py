@@ -58,3 +58,17 @@ def test_edges(spark, model):
 def test_untrained():
     weights = extract.train([])
     assert len(extract.label_pages([extract.blocks_of("<p>a</p>")], weights)[0]) == 1
+
+
+def test_unclosed_elements_end():
+    def texts(html):
+        return [b.text for b in extract.blocks_of(html)]
+
+    assert texts("<html><head><meta charset=x><title>t</title><style>a<b</style><article><p>one<p>two</article>") == ["one", "two"]
+    assert texts("<head><link href=x>\n<p>one") == ["one"] and texts("<head><script>x</script>plain") == ["plain"]
+    for name in "button select svg object video audio canvas noscript template iframe".split():
+        assert texts(f"<article><p>one</p><div><{name}></div><p>two</p></article><p>three")[-2:] == ["two", "three"]
+        assert texts(f"<p>one <{name}>x</{name}> two") == ["one two"]
+    assert texts("<article><p>one<button></p><p>two</p></article><button>x</button>") == ["one", "two"]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds") == ["so x=2 holds"]
+    assert texts("<p>a<script>b<p>c") == ["a"]
