@@ -1,6 +1,6 @@
 """Licence scans: known sentences of licences are recognised, and their order is matched against licence rules.
 
-A text is cut at line breaks and after sentence marks; each sentence is normalised (A-Z lower-cased, all else than
+A text is cut after sentence marks and at blank lines, and what is not known then at line breaks; each sentence is normalised (A-Z lower-cased, all else than
 letters a-z and digits one space) and looked up among the known ones. The identifiers of the known sentences, in text
 order, form a sequence; rules are ordered sequences of identifiers, tried in their order at each place, leftmost first.
 Built-in expressions only, one pass, no shuffle.
@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from starloom.llm.common import LOWER, UPPER
 
-CUTS = r"\n|[.!?]+[\x20\x09\x0B-\x0D]+"
+#: Ends of sentences and blank lines, and all line breaks besides.
+SENTENCE_CUTS = r"\n[\x20\x09\x0B-\x0D]*\n|[.!?;]+[\x20\x09-\x0D]+"
+CUTS = r"\n|[.!?;]+[\x20\x09\x0B-\x0D]+"
 
 # Identifiers (one character each) of known sentences as they are normalised.
 SENTENCES = {
@@ -28,16 +30,31 @@ SENTENCES = {
     "g": "you may obtain a copy of the license at",
     "h": "this program is free software",
     "i": "all rights reserved",
+    # Sentences of headers and of full texts.
+    "j": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "k": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "l": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "m": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "n": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "o": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
+    "p": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
+    "q": "this work is licensed under a creative commons attribution 4 0 international license",
+    "r": "this work is licensed under a creative commons attribution sharealike 4 0 international license",
 }
 # Rules in order: identifiers of successive known sentences, and the licence they stand for.
-RULES = [("efg", "Apache-2.0"), ("ef", "Apache-2.0"), ("ha", "GPL-3.0"), ("a", "GPL-3.0"), ("b", "CC-BY-NC-4.0"), ("c", "MIT"), ("d", "Apache-2.0"), ("e", "Apache-2.0"), ("i", "proprietary")]
+RULES = [("hj", "GPL-3.0"), ("hk", "GPL-2.0"), ("l", "GPL-3.0"), ("m", "AGPL-3.0"), ("n", "MPL-2.0"), ("o", "MIT"), ("p", "BSD"), ("q", "CC-BY-4.0"), ("r", "CC-BY-SA-4.0"), ("efg", "Apache-2.0"), ("ef", "Apache-2.0"), ("ha", "GPL-3.0"), ("a", "GPL-3.0"), ("b", "CC-BY-NC-4.0"), ("c", "MIT"), ("d", "Apache-2.0"), ("e", "Apache-2.0"), ("i", "proprietary")]
 
 
 def known_sequence(text: Column, sentences: Mapping[str, str]) -> Column:
     """The identifiers of the known sentences of a text, in order, as one string."""
-    flat = F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), CUTS)
     names = F.create_map(*[F.lit(x) for name, sentence in sentences.items() for x in (sentence, name)])
-    return F.array_join(F.transform(flat, lambda s: F.element_at(names, F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))), "")
+
+    def known(sentence: Column) -> Column:
+        return F.element_at(names, F.trim(F.regexp_replace(sentence, "[^a-z0-9]+", " ")))
+
+    # A sentence is looked up whole first, over its line breaks and the marks of comments, else line by line.
+    whole = F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), SENTENCE_CUTS)
+    return F.array_join(F.transform(whole, lambda s: F.coalesce(known(s), F.array_join(F.transform(F.split(s, CUTS), known), ""))), "")
 
 
 def scan(documents: DataFrame, sentences: Mapping[str, str] = SENTENCES, rules: Sequence[tuple[str, str]] = tuple(RULES)) -> DataFrame:

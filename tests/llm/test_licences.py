@@ -40,3 +40,11 @@ def test_whole_table(spark, small):
     rows = QUERIES["op5_license_scans"](spark, small).collect()
     assert len(rows) == len(texts) and any(r.licensed for r in rows)
     assert all((r.n_known, r.licences, r.licensed) == _plain(texts[r.doc_id]) for r in rows)
+
+
+def test_headers_wrapped_and_on_one_line(spark):
+    gpl = " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.\n *\n * x"
+    texts = ['Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.', "# Licensed under the Apache License,\n# Version 2.0 (the \"License\");\n# you may not use this file except in\n# compliance with the License.\n", gpl, gpl.replace("software: you", "software; you"), "A title\nReleased under the MIT License\nmore text"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r.licences for r in licences.scan(df).collect()}
+    assert found == {0: "Apache-2.0", 1: "Apache-2.0", 2: "GPL-3.0", 3: "GPL-3.0", 4: "MIT"}
