@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, extract, licences, minhash, mixing, passages, personal, quality, urls, vectors
+from starloom.llm import bpe, extract, licences, minhash, mixing, passages, personal, phrases, quality, urls, vectors
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,29 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_license_scans")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan(table(spark, folder, "documents"))
+
+
+_PHRASE_SQL = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+  unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+lists AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM lists GROUP BY 1),
+grams AS (SELECT lang, 1 AS size, unnest(w) AS phrase FROM lists
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM lists
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM lists),
+f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
+cuts AS (SELECT lang, size, phrase, a, k, array_to_string(w[:k], ' ') AS p, array_to_string(w[k + 1:], ' ') AS q FROM c, (VALUES (1), (2)) v(k) WHERE k < size),
+scores AS (SELECT cuts.*, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = p JOIN f y ON y.lang = cuts.lang AND y.phrase = q),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (SELECT lang, phrase, max(a) AS most FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM c WHERE size = 3) GROUP BY ALL),
+ranked AS (SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM lowest s LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op11_phrase_collocations", _PHRASE_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
