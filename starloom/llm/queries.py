@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, extract, licences, minhash, mixing, passages, personal, phrases, quality, urls, vectors
+from starloom.llm import bpe, centroids, extract, licences, minhash, mixing, passages, personal, phrases, quality, urls, vectors
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,3 +158,31 @@ SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN t
 @query("op11_phrase_collocations", _PHRASE_SQL)
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(table(spark, folder, "documents"))
+
+
+def _rounds_sql(rounds: int) -> str:
+    """The rounds as one chain of tables: a<r> holds the assignment before round r, c<r> the centroids."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT n, any_value(vec_id) AS vec_id, any_value(q) AS q, min(struct_pack(d := d, c := c)) AS best FROM (
+  SELECT n, vec_id, q, c, list_sum(list_transform(range(1, 65), lambda i: (q[i] - m[i]) * (q[i] - m[i])))::BIGINT AS d FROM kept, c{r}) GROUP BY n)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (SELECT c, coalesce(w, m) AS m FROM c{r} LEFT JOIN (SELECT c, list(floored ORDER BY i) AS w FROM (
+  SELECT c, i, ((s - ((s % size) + size) % size) // size)::BIGINT AS floored FROM (
+  SELECT best.c AS c, i, sum(q[i])::BIGINT AS s, count(*) AS size FROM a{r}, range(1, 65) t(i) GROUP BY ALL)) GROUP BY c) USING (c))""")
+    return ",\n".join(steps)
+
+
+_CENTROID_SQL = f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (SELECT (row_number() OVER o - 1)::INTEGER AS c, q AS m FROM kept WHERE vec_id IS NOT NULL WINDOW o AS (ORDER BY sha256('3:' || vec_id), q) QUALIFY row_number() OVER o <= 8),
+{_rounds_sql(10)}
+SELECT vec_id, best.c AS cluster, best.d AS distance, sum(best.d) OVER (PARTITION BY best.c)::BIGINT AS cluster_inertia, sum(best.d) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(m, ',')) AS centroid_sha256 FROM a10 JOIN c10 ON c10.c = best.c
+"""
+
+
+@query("op12_centroid_clustering", _CENTROID_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.clusters(table(spark, folder, "embeddings"))
