@@ -34,7 +34,9 @@ BLOCK_BITS, PROBES = 8192, 2
 #: A filter has at most so many bits (128 MiB), which bounds what is broadcast.
 MOST_BITS = 1 << 30
 #: Counters that a task keeps before it passes them on.
-KEPT_KEYS = 3_000_000
+KEPT_KEYS = 1_500_000
+#: Bytes of text that a task looks at together.
+SLICE = 3 << 20
 
 
 @dataclass(frozen=True)
@@ -166,7 +168,7 @@ def _mined(texts: DataFrame, size: int, bits: int, s: Settings, below) -> DataFr
             columns = [_block(keys, bits).astype(np.int32), np.full(len(keys), shard, np.int32), keys.view(np.int64), counts]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["block", "shard", "key", "n"])
 
-        for batch in text_slices(batches, limit=8 << 20):
+        for batch in text_slices(batches, limit=SLICE):
             words = _words(batch)
             ok = words.holds(size)
             if below is not None:
@@ -212,7 +214,7 @@ def _exact(texts: DataFrame, filters: dict[int, object], s: Settings) -> DataFra
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, limit=8 << 20):
+        for batch in text_slices(batches, limit=SLICE):
             w = _words(batch)
             starts = np.searchsorted(w.lang, np.arange(len(w.langs) + 1))
             fits = {size: w.holds(size) & _may_hold(f.value, w.keys(size), s.shards) for size, f in filters.items()}
