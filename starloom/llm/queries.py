@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, centroids, extract, licences, minhash, mixing, passages, personal, phrases, quality, urls, vectors
+from starloom.llm import bpe, centroids, classifier, extract, licences, minhash, mixing, passages, personal, phrases, quality, urls, vectors
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,9 @@ SELECT vec_id, best.c AS cluster, best.d AS distance, sum(best.d) OVER (PARTITIO
 @query("op12_centroid_clustering", _CENTROID_SQL)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return centroids.clusters(table(spark, folder, "embeddings"))
+
+
+@query("op13_quality_classifier")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return classifier.scores(documents, classifier.fitted(documents, table(spark, folder, "labels")))
