@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -69,14 +70,18 @@ def numeric_matrix(fact: DataFrame, key: str, columns: Sequence[str] = FALLBACK_
     return fact.select(key, F.array(*[number_or_zero(fact, c) for c in present(fact, columns)]).alias("features"))
 
 
-def fit_kmeans(matrix: DataFrame, k: int, restarts: int = 10, seed: int = 42, parallel: int = 4) -> KMeansModel:
-    """Best of several seeded K-Means fits by inertia.
-
-    Equal rows are merged into one weighted row first: the objective is the same, and 0/1 category vectors have few
-    distinct values however many rows there are.
-    """
+def merged_rows(matrix: DataFrame) -> DataFrame:
+    """Equal vectors as one row (features, weight), stored: the objective of K-Means is the same, and 0/1 category vectors
+    have few distinct values however many rows there are."""
     merged = matrix.groupBy("features").agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    rows = materialize(merged.select(array_to_vector("features").alias("features"), "weight"))
+    return materialize(merged.select(array_to_vector("features").alias("features"), "weight"))
+
+
+def fit_kmeans(
+    matrix: DataFrame, k: int, restarts: int = 10, seed: int = 42, parallel: int = 4, merged: DataFrame | None = None
+) -> KMeansModel:
+    """Best of several seeded K-Means fits by inertia; `merged` are the merged rows of the matrix where they are at hand."""
+    rows = merged_rows(matrix) if merged is None else merged
 
     def fit(i: int) -> KMeansModel:
         return KMeans(k=k, seed=seed + i, maxIter=300, tol=1e-4, weightCol="weight").fit(rows)
@@ -136,15 +141,41 @@ def silhouette(labelled: DataFrame, key: str, n: int = 2000, seed: int = 42) ->
     )
 
 
-def _measured_models(rows: DataFrame, key: str, k_values: Sequence[int], measured: int, restarts: int) -> list[tuple[int, float, KMeansModel]]:
-    """k, silhouette and model for each k."""
+@dataclass(frozen=True)
+class Sweep:
+    """Fits of one matrix for several k: its stored rows, and (k, silhouette, model) for each k."""
+
+    rows: DataFrame
+    fits: list[tuple[int, float, KMeansModel]]
+
+    @property
+    def best(self) -> tuple[int, float, KMeansModel]:
+        """The fit of the largest silhouette; the smaller k wins a tie."""
+        return max(self.fits, key=lambda m: (m[1], -m[0]))
+
+    def scores(self) -> DataFrame:
+        return self.rows.sparkSession.createDataFrame([(k, score) for k, score, _ in self.fits], "k int, silhouette double")
+
+
+def sweep(
+    matrix: DataFrame,
+    key: str,
+    k_values: Sequence[int] = (2, 3, 4, 5),
+    sample: int | None = None,
+    measured: int = 2000,
+    restarts: int = 10,
+) -> Sweep:
+    """One fit for each k, on all rows or on a seeded sample of so many. Rows are stored once and merged once for all fits,
+    and the winner is at hand afterwards, so nothing is fitted twice."""
+    rows = materialize(sample_rows(matrix, key, sample) if sample else matrix)
+    merged = merged_rows(rows)
 
     def measure(k: int) -> tuple[int, float, KMeansModel]:
-        model = fit_kmeans(rows, k, restarts)
+        model = fit_kmeans(rows, k, restarts, merged=merged)
         return k, silhouette(assign(model, rows), key, measured).first()["silhouette"], model
 
     with ThreadPool(len(k_values)) as pool:
-        return pool.map(measure, k_values)
+        return Sweep(rows, pool.map(measure, k_values))
 
 
 def choose_k(
@@ -155,18 +186,15 @@ def choose_k(
     measured: int = 2000,
     restarts: int = 10,
 ) -> DataFrame:
-    """Silhouette per k on all rows, or on a seeded sample of so many, one row per k."""
-    rows = materialize(sample_rows(matrix, key, sample) if sample else matrix)
-    scores = [(k, score) for k, score, _ in _measured_models(rows, key, k_values, measured, restarts)]
-    return matrix.sparkSession.createDataFrame(scores, "k int, silhouette double")
+    """Silhouette per k, one row per k."""
+    return sweep(matrix, key, k_values, sample, measured, restarts).scores()
 
 
 def best_model(
     matrix: DataFrame, key: str, k_values: Sequence[int] = (2, 3, 4, 5), measured: int = 2000, restarts: int = 10
 ) -> KMeansModel:
     """The model of the k that `best_k` takes from `choose_k` on all rows."""
-    models = _measured_models(materialize(matrix), key, k_values, measured, restarts)
-    return max(models, key=lambda m: (m[1], -m[0]))[2]
+    return sweep(matrix, key, k_values, None, measured, restarts).best[2]
 
 
 def best_k(scores: DataFrame) -> int:
@@ -253,11 +281,18 @@ def explained_variance(model: PipelineModel, matrix: DataFrame) -> DataFrame:
     )
 
 
+def _signs(model: PipelineModel) -> list[float]:
+    """1 or -1 for each component, so that its loading of largest size (the first of equals) is positive."""
+    loadings = model.stages[-1].pc.toArray()
+    largest = np.argmax(np.round(np.abs(loadings), 9), axis=0)
+    return [1.0 if loadings[i, c] >= 0 else -1.0 for c, i in enumerate(largest)]
+
+
 def project(model: PipelineModel, rows: DataFrame, features: str = "features") -> DataFrame:
-    """Rows with their first two principal components."""
-    point = vector_to_array("projected")
+    """Rows with their first two principal components, whose signs do not depend on the decomposition."""
+    point, signs = vector_to_array("projected"), _signs(model)
     projected = model.transform(rows.withColumn("_vector", array_to_vector(features)))
-    return projected.withColumns({"pc1": point[0], "pc2": point[1]}).drop("_vector", "_centred", "projected")
+    return projected.withColumns({f"pc{i + 1}": point[i] * signs[i] for i in (0, 1)}).drop("_vector", "_centred", "projected")
 
 
 def project_centroids(model: PipelineModel, kmeans: KMeansModel, spark) -> DataFrame:
@@ -275,13 +310,27 @@ def scatter(model: PipelineModel, labelled: DataFrame, names: DataFrame, key: st
 
 
 def evaluate(matrix: DataFrame, key: str, k_values: Sequence[int] = tuple(range(2, 9)), restarts: int = 10) -> DataFrame:
-    """Best k, its silhouette and Davies-Bouldin index in one row."""
-    k = best_k(choose_k(matrix, key, k_values, sample=None, restarts=restarts))
-    rows = materialize(matrix)
-    labelled = assign(fit_kmeans(rows, k, restarts), rows)
-    measured = silhouette(labelled, key).select("silhouette").scalar()
-    return davies_bouldin(labelled).select(
-        F.lit(k).alias("optimal_k"), measured.alias("silhouette"), "davies_bouldin"
-    )
+    """Best k, its silhouette and Davies-Bouldin index in one row; the model is the one that the sweep fitted."""
+    swept = sweep(matrix, key, k_values, restarts=restarts)
+    k, measured, model = swept.best
+    labelled = materialize(assign(model, swept.rows))
+    return davies_bouldin(labelled).select(F.lit(k).alias("optimal_k"), F.lit(measured).alias("silhouette"), "davies_bouldin")
 
 
+def decomposition(labelled: DataFrame, model: KMeansModel) -> DataFrame:
+    """n, n_nearest, sum_of_squares of labelled rows in one row.
+
+    n_nearest counts the rows at the nearest centre of the model. The squared distances to the own centre and those of the
+    centres to the mean of all rows add up to the total sum of squares exactly where each centre is the mean of its rows.
+    """
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+    mean = labelled.agg(vector_to_array(Summarizer.mean(array_to_vector("features")))).scalar()
+    rows = labelled.withColumns({"_centres": centres, "_mean": mean})
+    distances = F.transform("_centres", lambda c: _distance(F.col("features"), c))
+    own = F.element_at("_distances", F.col("cluster") + 1)
+    between = _distance(F.element_at("_centres", F.col("cluster") + 1), F.col("_mean"))
+    return rows.withColumn("_distances", distances).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(own <= F.array_min("_distances") + 1e-9).alias("n_nearest"),
+        F.sum(own * own + between * between).alias("sum_of_squares"),
+    )

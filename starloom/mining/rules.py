@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.encode import RULE_LABELS, set_label
+from starloom.functions.numeric import rounded
 from starloom.operators.aggregate import item_sets
 from starloom.operators.joins import keep_top_items
+from starloom.operators.ranking import numbered
 from starloom.session import materialize
 
 _LOW_BITS = 15
@@ -87,7 +89,8 @@ def association_rules(itemsets: DataFrame, min_confidence: float = 0.3) -> DataF
 
 
 def _rank_order() -> list[Column]:
-    return [F.desc("lift"), F.array_join("antecedents", ","), F.array_join("consequents", ",")]
+    # Rules and their mirror images have equal lifts but for the last digits of a division.
+    return [F.desc(rounded("lift", 10)), F.array_join("antecedents", ","), F.array_join("consequents", ",")]
 
 
 def ranked_rules(rules: DataFrame) -> DataFrame:
@@ -95,6 +98,11 @@ def ranked_rules(rules: DataFrame) -> DataFrame:
     return rules.orderBy(*_rank_order())
 
 
+def numbered_rules(rules: DataFrame) -> DataFrame:
+    """Rules with their `rank` from 1 by falling lift."""
+    return numbered(rules, _rank_order())
+
+
 def top_rules(rules: DataFrame, n: int) -> DataFrame:
     return ranked_rules(rules).limit(n)
 

@@ -21,9 +21,11 @@ from starloom.operators.scaling import unscaled, with_scaled_target
 from starloom.operators.sets import stack
 from starloom.session import FIT_PARTITIONS, materialize, stored_for_fits
 
-SEED = 42
+SEED, TEST_SHARE = 42, 0.2
 # Node numbers are kept per row instead of walking every tree again, and a whole tree level fits into one pass.
 TREE_SETTINGS = {"cacheNodeIds": True, "maxMemoryInMB": 1024}
+# A single tree tries every midpoint between values where a feature has at most so many, and quantiles beyond that.
+EXACT_BINS = 1024
 
 
 @dataclass(frozen=True)
@@ -34,6 +36,7 @@ class Task:
     features: list[str]
     key: str
     label: str
+    target: str | None = None  # the column that the label was made from
 
     @property
     def train(self) -> DataFrame:
@@ -50,7 +53,7 @@ def classification_task(
     """Stratified 80/20 split of the classification frame."""
     frame = classification_frame(df, key, target)
     features = [c for c in frame.columns if c not in (key, target)]
-    return Task(stored_for_fits(stratified_split(frame, key, target, seed=SEED), key, partitions), features, key, target)
+    return Task(stored_for_fits(stratified_split(frame, key, target, test_share=TEST_SHARE, seed=SEED), key, partitions), features, key, target, target)
 
 
 def regression_task(
@@ -60,16 +63,16 @@ def regression_task(
     frame = regression_frame(df, key, target)
     features = [c for c in frame.columns if c not in (key, target)]
     scaled = with_scaled_target(materialize(frame), target)
-    return Task(stored_for_fits(split_rows(scaled, key, seed=SEED), key, partitions), features, key, "target_scaled")
+    return Task(stored_for_fits(split_rows(scaled, key, TEST_SHARE, SEED), key, partitions), features, key, "target_scaled", target)
 
 
 def classifiers(n_train: int, names: Sequence[str] | None = None) -> dict:
     """The three estimators; the logistic penalty 1/(C n) equals an L2 penalty with C = 1 on the summed loss."""
     all_models = {
         "Logistic Regression": LogisticRegression(
-            maxIter=1000, regParam=1.0 / n_train, elasticNetParam=0.0, standardization=False
+            maxIter=1000, regParam=1.0 / n_train, elasticNetParam=0.0, standardization=False, tol=1e-14
         ),
-        "Decision Tree": DecisionTreeClassifier(maxDepth=6, seed=SEED, **TREE_SETTINGS),
+        "Decision Tree": DecisionTreeClassifier(maxDepth=6, maxBins=EXACT_BINS, seed=SEED, **TREE_SETTINGS),
         "Random Forest": RandomForestClassifier(numTrees=100, maxDepth=8, seed=SEED, **TREE_SETTINGS),
     }
     return {name: all_models[name] for name in names or all_models}

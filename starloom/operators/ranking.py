@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.session import materialize
+
 
 def top_per_group(df: DataFrame, group: str, order: Sequence[Column], k: int, rank: str = "place") -> DataFrame:
     """First k rows of each group; Spark cuts each partition to k rows per group before the shuffle."""
@@ -28,3 +30,17 @@ def best_by(df: DataFrame, name: str, metric: str, largest: bool = True) -> Data
 
 def top_rows(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
+
+
+def numbered(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
+    """Rows numbered from 1 in an order of the whole table, without bringing them into one task.
+
+    The sorted rows are stored with their task and their place in it; counts of the tasks before give the rest.
+    """
+    sorted_rows = df.orderBy(*order).withColumns({"_task": F.spark_partition_id(), "_id": F.monotonically_increasing_id()})
+    rows = materialize(sorted_rows.withColumn("_place", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_id"))
+    sizes = rows.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))  # one row a task
+    before = F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_n")
+    joined = rows.join(F.broadcast(offsets), "_task")
+    return joined.withColumn(name, F.col("_before") + F.col("_place") + 1).select(*df.columns, name)

@@ -311,6 +311,10 @@ CTES = {
 }
 
 
+#: A table expression that starts with this is computed once, however often it is named.
+ONCE = "/* once */ "
+
+
 def with_ctes(body: str, extra: Mapping[str, str] | None = None) -> str:
     """Prefix a query with the common table expressions it names, in dependency order."""
     defined = CTES | dict(extra or {})
@@ -327,4 +331,4 @@ def with_ctes(body: str, extra: Mapping[str, str] | None = None) -> str:
     visit(body)
     if not ordered:
         return body
-    return "WITH " + ",\n".join(f"{name} AS ({defined[name]})" for name in ordered) + "\n" + body
+    return "WITH " + ",\n".join(f"{name} AS {'MATERIALIZED ' if defined[name].startswith(ONCE) else ''}({defined[name]})" for name in ordered) + "\n" + body

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.numeric import rounded
 from starloom.mining import cluster as C
-from starloom.plans.bindings import _case, hashed, rnd
+from starloom.plans.bindings import ONCE, _case, hashed, rnd
 from starloom.plans.catalog.registry import query
 from starloom.functions.encode import CLUSTER_LABELS
 from starloom.session import materialize
@@ -74,14 +74,20 @@ def _(t):
     return rows.select("job_id", *[F.col("features")[i].alias(c) for i, c in enumerate(C.FALLBACK_FEATURES)])
 
 
-@query("clu_kmeans", "SELECT DISTINCT job_id, true AS at_nearest FROM small_bridge")
+# The matrix of the fits in SQL: all categories of the small bridge, then the scaled attributes.
+_FIT = {k: v.replace("FROM bridge", "FROM small_bridge").replace("r <= 20", "r <= 35") for k, v in _CTES.items() if k in ("ranked_items", "kept_items", "held", "held_sets", "with_attributes")}
+_FIT["fit_matrix"] = f"""{ONCE}SELECT job_id, list_concat(list_transform(classes, lambda x: CAST(list_contains(items, x) AS DOUBLE)),
+    [{_scaled("e")}, {_scaled("c")}, {_scaled("r")}]) AS v FROM with_attributes, kept_items"""
+_FIT["fit_cells"] = f"{ONCE}SELECT job_id, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS d FROM fit_matrix"
+
+
+@query("clu_kmeans", f"""SELECT COUNT(DISTINCT job_id) AS n, COUNT(DISTINCT job_id) AS n_nearest, {rnd("SUM((x - m) * (x - m))", 4)} AS sum_of_squares
+    FROM fit_cells JOIN (SELECT d, avg(x) AS m FROM fit_cells GROUP BY 1) USING (d)""", _FIT)
 def _(t):
-    """Whether every basket is at the nearest centre of the fitted model; cluster numbers are not repeatable."""
+    """Whether the fit is at rest: every basket at the nearest centre, and the squares within and between the clusters add
+    up to the total that SQL computes, which they do only if every centre is the mean of its baskets."""
     _, model, labelled = clustered(t)
-    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
-    distances = F.transform(centres, lambda c: C._distance(F.col("features"), c))
-    own = F.element_at(distances, F.col("cluster") + 1)
-    return labelled.select("job_id", (own <= F.array_min(distances) + 1e-9).alias("at_nearest"))
+    return C.decomposition(labelled, model).withColumn("sum_of_squares", rounded("sum_of_squares", 4))
 
 
 @query("clu_best_k")
@@ -89,10 +95,14 @@ def _(t):
     return C.choose_k(matrix(t), "job_id")
 
 
+def task_metrics(t):
+    """The evaluation preset: top 50 categories, no numeric attributes, k from 2 to 8 over all rows; stored once a session."""
+    return t._stage("clustering_metrics", lambda: C.evaluate(materialize(evaluation_matrix(t)), "job_id"))
+
+
 @query("clu_evaluate")
 def _(t):
-    """The evaluation preset: top 50 categories, no numeric attributes, k from 2 to 8 over all rows."""
-    return C.evaluate(materialize(evaluation_matrix(t)), "job_id")
+    return task_metrics(t)
 
 
 _PAIRS = """SELECT a.vec_id AS id, a.cluster AS own, b.cluster AS other, SUM(list_distance(a.features, b.features)) AS total,
@@ -144,10 +154,50 @@ def _(t):
     return C.cluster_names(C.item_shares(_grouped(t)))
 
 
-@query("clu_pca")
+def _principal(step, matrix_name):
+    """Largest eigenvalue and its vector of a symmetric matrix (list of rows): the matrix is squared until one column is left
+    of it, brought to trace 1 each time."""
+    product = "list_transform(m, lambda a: list_transform(m, lambda b: list_dot_product(a, b) / t))"
+    trace = "list_sum(list_transform(range(1, len(m) + 1), lambda i: m[i][i]))"
+    return {
+        f"squared{step}": f"""{ONCE}SELECT m FROM (WITH RECURSIVE s(n, m) AS (SELECT 0, m FROM {matrix_name} UNION ALL
+            SELECT n + 1, {product} FROM (SELECT n, m, {trace} AS t FROM s) WHERE n < 40) SELECT m FROM s ORDER BY n DESC LIMIT 1)""",
+        f"column{step}": f"""{ONCE}SELECT list_transform(c, lambda x: x / sqrt(list_dot_product(c, c))) AS u FROM (SELECT m[list_position(
+            list_transform(range(1, len(m) + 1), lambda i: m[i][i]), list_max(list_transform(range(1, len(m) + 1), lambda i: m[i][i])))] AS c FROM squared{step})""",
+        f"axis{step}": f"""{ONCE}SELECT list_transform(u, lambda x: x * CASE WHEN u[list_position(w, list_max(w))] >= 0 THEN 1 ELSE -1 END) AS u,
+            list_dot_product(u, list_transform(m, lambda a: list_dot_product(a, u))) AS value
+            FROM (SELECT u, m, list_transform(u, lambda x: round(abs(x), 9)) AS w FROM column{step}, {matrix_name})""",
+        f"rest{step}": f"""{ONCE}SELECT list_transform(range(1, len(m) + 1), lambda i: list_transform(range(1, len(m) + 1), lambda j: m[i][j] - value * u[i] * u[j])) AS m
+            FROM {matrix_name}, axis{step}""",
+    }
+
+
+_PCA = _FIT | {
+    "fit_mean": f"{ONCE}SELECT list(m ORDER BY d) AS mean FROM (SELECT d, avg(x) AS m FROM fit_cells GROUP BY 1)",
+    "fit_covariance": f"""{ONCE}SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM (SELECT i, j, SUM((v[i] - mean[i]) * (v[j] - mean[j])) / (COUNT(*) - 1) AS c
+        FROM fit_matrix, fit_mean, (SELECT unnest(range(1, len(mean) + 1)) AS i FROM fit_mean) a, (SELECT unnest(range(1, len(mean) + 1)) AS j FROM fit_mean) b GROUP BY 1, 2) GROUP BY 1)""",
+    **_principal(1, "fit_covariance"),
+    **_principal(2, "rest1"),
+    "spread": f"{ONCE}SELECT list_sum(list_transform(range(1, len(m) + 1), lambda i: m[i][i])) AS total FROM fit_covariance",
+}
+
+
+@query("clu_pca", f"""SELECT 1::INTEGER AS component, {rnd("value / total", 8)} AS explained FROM axis1, spread
+    UNION ALL SELECT 2, {rnd("value / total", 8)} FROM axis2, spread""", _PCA)
+def _(t):
+    """Shares of the variance; the SQL finds the leading eigenvalues of the covariance matrix."""
+    rows = matrix(t)
+    return C.explained_variance(C.fit_projection(rows), rows).withColumn("explained", rounded("explained", 8))
+
+
+@query("clu_projection", f"""SELECT job_id, {rnd("list_dot_product(list_transform(range(1, len(v) + 1), lambda i: v[i] - mean[i]), axis1.u)", 5)} AS pc1,
+    {rnd("list_dot_product(list_transform(range(1, len(v) + 1), lambda i: v[i] - mean[i]), axis2.u)", 5)} AS pc2
+    FROM (SELECT * FROM {hashed("fit_matrix", "job_id")} ORDER BY _h, job_id LIMIT 10000), fit_mean, axis1, axis2""", _PCA)
 def _(t):
+    """The points of the scatter chart, without their clusters."""
     rows = matrix(t)
-    return C.explained_variance(C.fit_projection(rows), rows)
+    points = C.project(C.fit_projection(rows), C.sample_rows(rows, "job_id", 10_000))
+    return points.select("job_id", rounded("pc1", 5).alias("pc1"), rounded("pc2", 5).alias("pc2"))
 
 
 @query("clu_centroids")

@@ -3,12 +3,16 @@
 from pyspark.sql import functions as F
 
 from starloom.functions.numeric import rounded
-from starloom.mining import scores
+from starloom.mining import bundle, scores
 from starloom.mining import supervised as S
+from starloom.mining.features import REGRESSION_FEATURES
 from starloom.operators import sets
 from starloom.plans.bindings import rnd
+from starloom.plans.catalog import fits
 from starloom.plans.catalog.aggregates import histogram_sql
 from starloom.plans.catalog.registry import query
+from starloom.plans.catalog.targets import features_sql
+from starloom.session import materialize, scratch
 
 _ERR = "(actual - predicted)"
 _RMSE = f"sqrt(avg({_ERR} * {_ERR}))"
@@ -36,10 +40,35 @@ def compared(predictions):
     return unit.join(value.select("model", F.col("rmse").alias("rmse_value")), "model")
 
 
-@query("reg_ols")
+_NAMES = [*REGRESSION_FEATURES, "work_FULL_TIME", "work_PART_TIME"]
+_SPLIT = fits.split_values(features_sql(REGRESSION_FEATURES, "salary_clean", "DOUBLE"), _NAMES, "salary_clean")
+OLS, RIDGE = (_SPLIT | fits.least_squares(name, len(_NAMES), penalty) for name, penalty in (("ols", 0), ("ridge", 1)))
+
+
+def _weights_sql(name):
+    return f"SELECT feature, {rnd('w', 8)} AS weight FROM {name}_weights JOIN {fits.named(_NAMES)} USING (i)"
+
+
+def _linear_sql(model, name):
+    """Metrics of a linear fit on [0, 1], and its error in target units."""
+    return f"""SELECT '{model}' AS model, {rnd(_RMSE, 8)} AS rmse, {rnd(f"avg(abs({_ERR}))", 8)} AS mae, {rnd(_R2, 8)} AS r2,
+        {rnd(f"{_RMSE} * any_value(high - low)", 2)} AS rmse_value FROM {name}_predictions"""
+
+
+def _linear(t, model):
+    return _round(_round(compared(predicted(t, [model])), 8, "rmse", "mae", "r2"), 2, "rmse_value")
+
+
+@query("reg_ols", _weights_sql("ols"), OLS)
 def _(t):
+    """Weights of the least-squares fit; the SQL solves the normal equations."""
     task, models = fitted(t, ["Linear Regression"])
-    return S.coefficients(models["Linear Regression"], task.features, t.spark)
+    return _round(S.coefficients(models["Linear Regression"], task.features, t.spark), 8, "weight")
+
+
+@query("reg_ols_metrics", _linear_sql("Linear Regression", "ols"), OLS)
+def _(t):
+    return _linear(t, "Linear Regression")
 
 
 @query("reg_ols_single", f"""SELECT {rnd("regr_slope(actual, predicted)", 6)} AS slope, {rnd("regr_intercept(actual, predicted)", 2)} AS intercept
@@ -57,10 +86,16 @@ def _(t):
     return line.select(rounded("slope", 6).alias("slope"), rounded("intercept", 2).alias("intercept"))
 
 
-@query("reg_ridge")
+@query("reg_ridge", _weights_sql("ridge"), RIDGE)
 def _(t):
+    """Weights of the ridge fit; the SQL solves the penalised normal equations."""
     task, models = fitted(t, ["Ridge Regression"])
-    return S.coefficients(models["Ridge Regression"], task.features, t.spark)
+    return _round(S.coefficients(models["Ridge Regression"], task.features, t.spark), 8, "weight")
+
+
+@query("reg_ridge_metrics", _linear_sql("Ridge Regression", "ridge"), RIDGE)
+def _(t):
+    return _linear(t, "Ridge Regression")
 
 
 @query("reg_rf")
@@ -98,12 +133,39 @@ def _(t):
     return _round(_round(_round(metrics, 4, "rmse", "mae"), 8, "r2"), 6, "mape")
 
 
+def _kept(t, names=None):
+    """The comparison of the fitted models, and the best one after it was written as a bundle and read again."""
+    task, models = fitted(t, names)
+    table = materialize(compared(S.value_predictions(task, models)))
+    path = scratch(t.spark)
+    bundle.save_best(path, task, models, table, "r2")
+    return table, bundle.load(path, t.spark)
+
+
+def task_metrics(t):
+    """Test metrics of the best of all four models in units of the target, from its bundle; stored once a session."""
+    return t._stage("regression_metrics", lambda: _kept(t)[1].evaluate(t.prepared))
+
+
 @query("reg_best")
 def _(t):
-    """Comparison of all four models with the one to persist marked."""
-    table = compared(predicted(t))
-    best = S.best_model(table, "r2")
-    return table.withColumn("is_best", F.col("model") == best)
+    """Comparison of all four models; the best one is persisted, and its R2 after reloading stands beside."""
+    table, best = _kept(t)
+    again = best.evaluate(t.prepared).select("model", F.col("r2").alias("r2_reloaded"), F.lit(True).alias("is_best"))
+    joined = table.join(F.broadcast(again), "model", "left")  # one row a model
+    return joined.withColumn("is_best", F.coalesce("is_best", F.lit(False)))
+
+
+_BOTH = OLS | RIDGE | {"linear": "SELECT 'Linear Regression' AS model, actual * (high - low) + low AS actual, predicted * (high - low) + low AS predicted FROM ols_predictions "
+    "UNION ALL SELECT 'Ridge Regression', actual * (high - low) + low, predicted * (high - low) + low FROM ridge_predictions"}
+
+
+@query("reg_bundle", f"""SELECT model, {rnd(_RMSE, 2)} AS rmse, {rnd(f"avg(abs({_ERR}))", 2)} AS mae, {rnd(_R2, 8)} AS r2, {rnd(_MAPE, 6)} AS mape
+    FROM linear GROUP BY 1 ORDER BY {_R2} DESC LIMIT 1""", _BOTH)
+def _(t):
+    """The better linear model: persisted, reloaded and judged in units of the target on the test rows of its rule."""
+    _, best = _kept(t, ["Linear Regression", "Ridge Regression"])
+    return _round(_round(_round(best.evaluate(t.prepared), 2, "rmse", "mae"), 8, "r2"), 6, "mape")
 
 
 @query("reg_avp", f"""SELECT job_id, actual, {rnd("predicted", 4)} AS predicted, {rnd("(SELECT least(min(actual), min(predicted)) FROM gross_rows)", 4)} AS low,

@@ -78,9 +78,12 @@ def _(t):
     return _rounded(rules, "leverage", "zhangs_metric").withColumn("conviction", rounded("conviction", 6))
 
 
-@query("arm_ranked", f"SELECT a AS antecedents, c AS consequents, {rnd('lift', 8)} AS lift FROM rule_set ORDER BY lift DESC", _LEVELS)
+_RANK = "row_number() OVER (ORDER BY round_even(lift * 1e10, 0) DESC, a, c)"
+
+
+@query("arm_ranked", f"SELECT {_RANK} AS rank, a AS antecedents, c AS consequents, {rnd('lift', 8)} AS lift FROM rule_set", _LEVELS)
 def _(t):
-    return _rounded(_as_text(R.ranked_rules(_rules(t))).select("antecedents", "consequents", "lift"), "lift")
+    return _rounded(_as_text(R.numbered_rules(_rules(t))).select("rank", "antecedents", "consequents", "lift"), "lift")
 
 
 def _label_sql(column):
@@ -115,12 +118,30 @@ def _(t):
 _RANGES = ["min_support", "max_support", "min_confidence", "max_confidence", "min_lift", "max_lift", "avg_confidence"]
 
 
+#: Rules that the evaluation counts: fixed value.
+EVALUATED = 0.3
+_EVALUATED = _LEVELS | {"evaluated": f"SELECT * FROM rule_set WHERE confidence >= {EVALUATED}"}
+
+
+def task_metrics(t):
+    """Numbers of the evaluated rules; stored once a session."""
+    return t._stage("rule_metrics", lambda: R.rule_summary(_rules(t, EVALUATED)))
+
+
 @query("arm_eval", "SELECT COUNT(*) AS total_rules, " + ", ".join(
     f"{rnd(f'{p}({m})', 8)} AS {p}_{m}" for m in ("support", "confidence", "lift") for p in ("min", "max"))
     + f""", COUNT(*) FILTER (WHERE lift > 1.5) AS n_lift_above, COUNT(*) FILTER (WHERE confidence > 0.5) AS n_confidence_above,
-    {rnd("avg(confidence)", 8)} AS avg_confidence FROM rule_set""", _LEVELS)
+    {rnd("avg(confidence)", 8)} AS avg_confidence FROM evaluated""", _EVALUATED)
+def _(t):
+    return _rounded(task_metrics(t), *_RANGES)
+
+
+@query("arm_eval_top", f"""SELECT rank, a AS antecedents, c AS consequents, {rnd("support", 8)} AS support, {rnd("confidence", 8)} AS confidence,
+    {rnd("lift", 8)} AS lift FROM (SELECT *, {_RANK} AS rank FROM evaluated) WHERE rank <= 5""", _EVALUATED)
 def _(t):
-    return _rounded(R.rule_summary(_rules(t)), *_RANGES)
+    """The five leading rules that the evaluation shows."""
+    top = R.numbered_rules(R.top_rules(_rules(t, EVALUATED), 5))
+    return _rounded(_as_text(top).select("rank", "antecedents", "consequents", "support", "confidence", "lift"), "support", "confidence", "lift")
 
 
 @query("srt_head_rules", f"""SELECT a AS antecedents, c AS consequents, {rnd("support", 8)} AS support, {rnd("confidence", 8)} AS confidence,

@@ -49,17 +49,17 @@ def _(t):
     return scaled.select("job_id", rounded("target_scaled", 8).alias("target_scaled"), restored.alias("restored"))
 
 
-def _features_sql(names, target, cast):
+def features_sql(names, target, cast):
     columns = ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE) AS {c}" for c in names)
     work = ", ".join(f'CAST("{w}" AS DOUBLE) AS "{w}"' for w in ("work_FULL_TIME", "work_PART_TIME"))
     return f"SELECT job_id, {columns}, {work}, CAST({target} AS {cast}) AS {target} FROM prepared WHERE {target} IS NOT NULL"
 
 
-@query("fea_clf", _features_sql(CLASSIFICATION_FEATURES, "high_demand", "INTEGER"))
+@query("fea_clf", features_sql(CLASSIFICATION_FEATURES, "high_demand", "INTEGER"))
 def _(t):
     return classification_frame(t.prepared)
 
 
-@query("fea_reg", _features_sql(REGRESSION_FEATURES, "salary_clean", "DOUBLE"))
+@query("fea_reg", features_sql(REGRESSION_FEATURES, "salary_clean", "DOUBLE"))
 def _(t):
     return regression_frame(t.prepared)

@@ -41,9 +41,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder name below the shared folder."""
+    return f"{ensure_checkpoint_dir(spark)}/starloom-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a frame that iterative fits read many times to the shared folder and read it back, cutting its lineage."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/starloom-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
