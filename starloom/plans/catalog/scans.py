@@ -8,6 +8,7 @@ from starloom.functions.numeric import rounded
 from starloom.mining import bundle
 from starloom.mining.rules import association_rules, baskets, frequent_itemsets
 from starloom.mining.scorecard import scorecard
+from starloom.operators.sets import stack
 from starloom.plans.bindings import rnd
 from starloom.plans.catalog import classification, clustering, regression
 from starloom.plans.catalog import rules as rule_queries
@@ -66,6 +67,22 @@ def _(t):
     return result
 
 
+@query("snk_star_versions", """SELECT v AS version, 'fact_job_postings' AS name, COUNT(*) AS n FROM fact, (VALUES (1::BIGINT), (2)) w(v) WHERE v = 2 OR job_id % 2 = 0 GROUP BY ALL
+    UNION ALL SELECT v, 'dim_companies', COUNT(*) FROM companies, (VALUES (1::BIGINT), (2)) w(v) GROUP BY ALL
+    UNION ALL SELECT v, 'bridge_job_skills', COUNT(*) FROM bridge, (VALUES (1::BIGINT), (2)) w(v) WHERE v = 2 OR job_id % 2 = 0 GROUP BY ALL""")
+def _(t):
+    """Two versions of the warehouse published one after the other, each read as a whole."""
+    root = _folder(t)
+    full = {"fact_job_postings": t.fact, "dim_companies": t.companies, "bridge_job_skills": t.bridge}
+    half = {name: df.where("job_id % 2 = 0") if "job_id" in df.columns else df for name, df in full.items()}
+    numbers = [sinks.publish_star(tables, root, {"fact_job_postings": ["listed_month"]}) for tables in (half, full)]
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(v).cast("bigint").alias("version"), F.lit(name).alias("name"), "n")
+        for v in numbers for name, df in sinks.published_star(t.spark, root, v).items()
+    ]
+    return stack(parts)
+
+
 @query("snk_csv_roundtrip", "SELECT job_id, skill_abr FROM bridge")
 def _(t):
     folder = _folder(t)

@@ -153,3 +153,26 @@ def test_numbered_rows(spark):
     expected = [(i, v, k) for i, (v, k) in enumerate(sorted(((v, k) for _, v, k in found), key=lambda r: (-r[0], r[1])), 1)]
     assert sorted(found) == expected
     assert numbered(rows.limit(0), [F.asc("v")]).count() == 0
+
+
+def test_versions_of_the_star_are_replaced_as_a_whole(spark):
+    from starloom.sources import sinks
+
+    root = scratch(spark)
+    assert sinks.star_versions(spark, root).count() == 0
+    with pytest.raises(ValueError):
+        sinks.published_star(spark, root)
+    first = {name: spark.range(n).withColumn("part", F.col("id") % 2) for name, n in (("fact", 10), ("dim", 3))}
+    assert sinks.publish_star(first, root, {"fact": ["part"]}) == 1
+    # The second table of the next version fails midway: the old version is still whole.
+    broken = {"fact": spark.range(20), "dim": spark.range(5).withColumn("x", F.raise_error(F.lit("lost")).cast("int"))}
+    with pytest.raises(Exception, match="lost"):
+        sinks.publish_star(broken, root)
+    assert {n: d.count() for n, d in sinks.published_star(spark, root).items()} == {"fact": 10, "dim": 3}
+    # Tables may be computed from the version that they replace, which open readers keep.
+    old = sinks.published_star(spark, root)
+    assert sinks.publish_star({"fact": old["fact"].where("id < 4"), "dim": old["dim"]}, root) == 2
+    assert old["fact"].count() == 10 and sinks.published_star(spark, root)["fact"].count() == 4
+    assert sinks.published_star(spark, root, 1)["fact"].count() == 10
+    assert sinks.drop_versions(spark, root, keep=1) == 2
+    assert {n: d.count() for n, d in sinks.published_star(spark, root).items()} == {"fact": 4, "dim": 3}
