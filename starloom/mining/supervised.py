@@ -10,7 +10,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.encode import REGRESSION_LABELS, feature_label
@@ -19,7 +19,7 @@ from starloom.operators.ranking import best_by, share_of_selection
 from starloom.operators.sampling import split_rows, stratified_split
 from starloom.operators.scaling import unscaled, with_scaled_target
 from starloom.operators.sets import stack
-from starloom.session import FIT_PARTITIONS, materialize, stored_for_fits
+from starloom.session import FIT_PARTITIONS, materialize, scratch, stored_for_fits
 
 SEED, TEST_SHARE = 42, 0.2
 # Node numbers are kept per row instead of walking every tree again, and a whole tree level fits into one pass.
@@ -102,8 +102,19 @@ def fit_all(task: Task, estimators: Mapping[str, object]) -> dict[str, PipelineM
     }
 
 
+def detached(model: PipelineModel) -> PipelineModel:
+    """The model as it is after saving and loading, without its training summary.
+
+    Tasks receive the whole model. The summary of a two-class model holds the session, and a session in which an
+    Observation was ever used cannot be serialised.
+    """
+    path = scratch(SparkSession.active())
+    model.write().save(path)
+    return PipelineModel.load(path)
+
+
 def fit_classifiers(task: Task, names: Sequence[str] | None = None) -> dict[str, PipelineModel]:
-    return fit_all(task, classifiers(task.train.count(), names))
+    return {name: detached(model) for name, model in fit_all(task, classifiers(task.train.count(), names)).items()}
 
 
 def fit_regressors(task: Task, names: Sequence[str] | None = None) -> dict[str, PipelineModel]:

@@ -281,6 +281,19 @@ def test_classifiers(spark, postings):
     assert shares.count() == 2 and shares.agg(F.sum("share")).first()[0] == pytest.approx(1.0)
 
 
+def test_classifiers_score_after_an_observation(spark, postings):
+    """A session that used an Observation cannot be serialised, so no model may carry it along."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    task = supervised.classification_task(postings)
+    models = supervised.fit_classifiers(task)
+    assert not any(m.stages[-1].hasSummary for m in models.values() if hasattr(m.stages[-1], "hasSummary"))
+    assert supervised.class_predictions(task, models).count() == 3 * task.test.count()
+
+
 def test_trees_and_boosting(spark, postings):
     task = supervised.regression_task(postings)
     estimators = supervised.regressors(100, 1.0, ["Random Forest", "Gradient Boosting"])

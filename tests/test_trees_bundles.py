@@ -26,7 +26,8 @@ def classes(postings):
     task = supervised.classification_task(postings)
     estimators = supervised.classifiers(task.train.count())
     forest = estimators["Random Forest"]
-    return task, supervised.fit_all(task, estimators | {"Random Forest": forest.copy({forest.numTrees: 6})})
+    models = supervised.fit_all(task, estimators | {"Random Forest": forest.copy({forest.numTrees: 6})})
+    return task, {name: supervised.detached(model) for name, model in models.items()}
 
 
 @pytest.fixture(scope="module")
