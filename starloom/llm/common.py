@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,12 +40,14 @@ def hashed_sample(rows: DataFrame, most: int, *keys: str) -> DataFrame:
     return hashed.where(F.col("_hash") <= F.lit(min((1 << 63) - 1, int(-(1 << 63) + share * (1 << 64))))).orderBy("_hash", *keys).limit(most).drop("_hash")
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that the texts of one slice hold about `limit` bytes (or one text), to bound memory in tasks."""
+def text_slices(batches: Iterator[pa.RecordBatch], column: str | Sequence[str] = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the texts of one slice, in one or several columns, hold about `limit` bytes (or one row), to
+    bound memory in tasks."""
+    columns = [column] if isinstance(column, str) else list(column)
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        lengths = sum(pc.binary_length(batch.column(c)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
         ends, start = np.cumsum(lengths), 0
         while start < batch.num_rows:
             done = ends[start - 1] if start else 0

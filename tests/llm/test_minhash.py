@@ -74,6 +74,28 @@ def test_no_rows_and_no_id(spark):
     assert (row.n_shingles, row.component_id, row.kept) == (2, None, True)
 
 
+def test_large_group_between_the_limits(spark):
+    """Near copies of one text whose pairs lie on both sides of the limit, many of them linked with no other."""
+    draw = random.Random(8)
+    base, rows = [f"w{k}" for k in range(150)], []
+    for k in range(400):
+        copy = list(base)
+        for _ in range(draw.choice((1, 2, 3, 4, 5, 6))):
+            copy[draw.randrange(150)] = f"x{draw.randrange(10**6)}"
+        rows.append((k, " ".join(copy)))
+    draw.shuffle(rows)
+    expected = _brute(rows)
+    assert sum(k for *_, k in expected) > 40 and sum(c == 0 for _, _, c, _ in expected) > 40
+    assert _found(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5))) == expected
+
+
+def test_rows_without_id_in_the_pipeline_stage(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(7, text, "a"), (9, text + " more", "b"), (None, text, "c"), (None, "quite another text of seven words here", "d"), (None, "quite another text of seven words here", "d"), (None, None, "e"), (None, "", "f"), (8, "", "g")]
+    kept = minhash.distinct_documents(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
+    assert sorted((str(r.doc_id), r.source) for r in kept.collect()) == [("7", "a"), ("8", "g"), ("None", "d"), ("None", "e"), ("None", "f")]
+
+
 @pytest.mark.parametrize("edges, roots", [([], {}), ([(1, 1)], {}), ([(5, 4), (4, 3), (9, 8), (3, 7), (4, 5)], {3: 3, 4: 3, 5: 3, 7: 3, 8: 8, 9: 8})])
 def test_components(spark, edges, roots):
     assert {r.id: r.root for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()} == roots
