@@ -12,22 +12,25 @@ import heapq
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm.common import text_slices
+from starloom.llm.common import text_bytes, text_slices
 
 #: Vocabularies have at most so many entries, which bounds what is broadcast.
 MOST_RANKS = 300_000
 #: Words whose ids a task keeps at hand; it starts anew when it has more.
 KEPT_WORDS = 400_000
+#: Words of fewer bytes are merged over a list of pairs, longer ones over a heap.
+SHORT = 100
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """The rank of each byte piece of a vocabulary file with lines `base64 rank`."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
-    if len(ranks) > MOST_RANKS:
-        raise ValueError(f"{len(ranks)} ranks are more than {MOST_RANKS}")
+    if len(ranks) > MOST_RANKS or max(ranks.values(), default=0) >= MOST_RANKS:
+        raise ValueError(f"{len(ranks)} ranks, or one of them, are more than {MOST_RANKS}")
     return ranks
 
 
@@ -39,13 +42,22 @@ def merge_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     if word in ranks:
         return [ranks[word]]
     n = len(word)
-    if n < 24:
-        parts = [word[i : i + 1] for i in range(n)]
-        while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: ranks.get(parts[i] + parts[i + 1], 1 << 30))
-            if parts[best] + parts[best + 1] not in ranks:
+    if n < SHORT:
+        # Ranks of the adjacent pairs; a merge changes those on its two sides only.
+        rank, none = ranks.get, MOST_RANKS
+        parts, pairs = [word[i : i + 1] for i in range(n)], [rank(word[i : i + 2], none) for i in range(n - 1)]
+        while pairs:
+            least = min(pairs)
+            if least == none:
                 break
-            parts[best : best + 2] = [parts[best] + parts[best + 1]]
+            i = pairs.index(least)
+            merged = parts[i] + parts[i + 1]
+            parts[i] = merged
+            del parts[i + 1], pairs[i]
+            if i < len(pairs):
+                pairs[i] = rank(merged + parts[i + 1], none)
+            if i:
+                pairs[i - 1] = rank(parts[i - 1] + merged, none)
         return [ranks[p] for p in parts]
     ends = list(range(1, n + 1))  # of the part that starts here; 0 once it is merged away
     before = list(range(-1, n - 1))
@@ -102,16 +114,24 @@ def encode(texts: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "
 
 def decode(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """`rows` with `decoded`, the bytes that the `ids` stand for. Null ids decode to null."""
-    shared = rows.sparkSession.sparkContext.broadcast({rank: piece for piece, rank in ranks.items()})
+    import numpy as np
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
+    table = [b""] * (max(ranks.values(), default=-1) + 1)
+    for piece, rank in ranks.items():
+        table[rank] = piece
+    shared = rows.sparkSession.sparkContext.broadcast(table)
 
-        pieces = shared.value
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = pa.array(shared.value, pa.binary())
         for batch in text_slices(batches, "ids"):
-            ids = batch.column("ids").to_pylist()
-            out = [None if i is None else b"".join([pieces[x] for x in np.frombuffer(i, "<u4").tolist()]) for i in ids]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "decoded"])
+            flat, ends = text_bytes(batch.column("ids"))
+            taken = pieces.take(pa.array(np.frombuffer(flat.tobytes(), "<u4").astype(np.int64)))
+            # The pieces of a row lie one after the other: their bytes need other offsets only.
+            bounds = np.frombuffer(taken.buffers()[1], np.int32)[: len(taken) + 1] if len(taken) else np.zeros(1, np.int32)
+            offsets = bounds[np.concatenate([[0], ends // 4])]
+            joined = pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(np.ascontiguousarray(offsets)), taken.buffers()[2]])
+            out = pc.if_else(batch.column("ids").is_valid(), joined, pa.scalar(None, pa.binary()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, out], [*batch.schema.names, "decoded"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     return rows.mapInArrow(run, f"{fields}, decoded binary")

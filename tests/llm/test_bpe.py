@@ -49,5 +49,14 @@ def test_whole_table(spark, small):
 def test_clashing_columns_and_long_words():
     ranks = bpe.read_ranks(PATH)
     library = _library()
-    for word in (b"abc" * 500, b"x" * 23, b"x" * 24, bytes(range(33, 127)) * 3):
+    for word in (b"abc" * 500, b"x" * 23, b"x" * 99, b"x" * 100, b"ab" * 49, b"the" * 33 + b"a", bytes(range(33, 127)) * 3, bytes(range(128, 256)), bytes(range(128, 200))):
         assert bpe.merge_word(word, ranks) == library._encode_single_piece(word)
+
+
+def test_decoding_of_nulls_and_empty_rows(spark):
+    ranks = bpe.read_ranks(PATH)
+    ids = bpe.encode(spark.createDataFrame([(1, "one two"), (2, ""), (3, None)], "doc_id int, text string"), ranks, public_tokenizers.PATTERN)
+    rows = ids.union(spark.createDataFrame([(4, None)], ids.schema))
+    assert {r.doc_id: r.decoded and bytes(r.decoded) for r in bpe.decode(rows, ranks).collect()} == {1: b"one two", 2: b"", 3: b"", 4: None}
+    only_empty = rows.where("doc_id IN (2, 3)").coalesce(1)
+    assert [bytes(r.decoded) for r in bpe.decode(only_empty, ranks).collect()] == [b"", b""]
