@@ -15,8 +15,10 @@ ORACLES: dict[str, str] = {}
 
 #: Rules of the URL query: fixed values.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
-#: Hosts that the query's own list blocks.
-LISTED_HOSTS = ["ads-track.example.com", "casino-win.example.com", "cheap-pills.example.com", "free-bets.example.com"]
+#: Names of junk hosts and the domains below which they turn up; the query's list blocks every name in every domain.
+JUNK_NAMES = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+JUNK_DOMAINS = ["example.com", "example.net", "example.org"]
+LISTED_HOSTS = [f"{name}.{domain}" for name in JUNK_NAMES for domain in JUNK_DOMAINS]
 
 
 def query(name: str, sql: str | None = None):

@@ -1,7 +1,9 @@
 """URL verdicts against a plain loop over the list."""
 
+import pytest
+
 from starloom.llm import urls
-from starloom.llm.queries import LISTED_HOSTS, QUERIES, URL_RULES
+from starloom.llm.queries import JUNK_NAMES, LISTED_HOSTS, QUERIES, URL_RULES
 
 
 def _plain(url, rules, listed, default="allow"):
@@ -76,3 +78,12 @@ def test_listed_entries_fit_the_canonical_form(spark):
     found = {r.page_id: r for r in urls.judge_urls(pages, spark.createDataFrame([("com", "/", "allow")], schema), listed).collect()}
     assert [found[k].verdict for k in range(len(spam + fair))] == ["block"] * len(spam) + ["allow"] * len(fair)
     assert (found[2].host, found[6].path) == ("u:p@w.pills.net:80", "/b%61d/1")
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01", "sf0.1"])
+def test_no_junk_host_passes_unless_a_rule_allows_it(spark, folder):
+    """Names of junk hosts in any spelling of host are blocked, and no other host is, but by a stated rule."""
+    judged = QUERIES["op3_url_filters"](spark, f"/root/testdata/{folder}")
+    rows = judged.where("rule IS NULL").select("host", "verdict").distinct().collect()
+    junk = {r.host for r in rows if set(r.host.split(".")) & set(JUNK_NAMES)}
+    assert junk and {r.host for r in rows if r.verdict == "block"} == junk
