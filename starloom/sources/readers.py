@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.operators.project import nulls_for_nan
+from starloom.sources.quoted import header_names, quoted_records
 
 # Logical source tables and their files.
 SOURCE_FILES = {
@@ -47,12 +48,12 @@ def source_manifest(spark: SparkSession, root: str, files: Mapping[str, str] = S
     return spark.createDataFrame(rows, "name string, path string, present boolean, all_present boolean")
 
 
-# Tables with free text, whose values may contain line breaks. Such files cannot be split, the others can.
+# Tables with free text, whose values may contain line breaks; they are cut into records first.
 FREE_TEXT_TABLES = ("job_postings",)
 
 
-def _csv_reader(spark: SparkSession, free_text: bool):
-    return spark.read.option("header", True).option("multiLine", free_text).option("escape", '"')
+def _csv_reader(spark: SparkSession):
+    return spark.read.option("header", True).option("escape", '"')
 
 
 def _same_headers(spark: SparkSession, path: str) -> list[list[str]]:
@@ -65,21 +66,37 @@ def _same_headers(spark: SparkSession, path: str) -> list[list[str]]:
     return [sorted(g["files"]) for g in sorted(groups, key=lambda g: g["header"])]
 
 
-def _header_schema(spark: SparkSession, path: list[str], declared: str, free_text: bool) -> T.StructType:
+def _header_schema(names: Sequence[str], declared: str) -> T.StructType:
     """Types by column name for the columns that files of one header have, in their order; undeclared ones stay text."""
     types = {f.name: f.dataType for f in T.StructType.fromDDL(declared).fields}
-    names = _csv_reader(spark, free_text).csv(path[0]).columns
-    return T.StructType([
-        T.StructField(name, types.get(name.strip().lower().replace(" ", "_"), T.StringType())) for name in names
-    ])
+    return T.StructType([T.StructField(name, types.get(name.strip().lower().replace(" ", "_"), T.StringType())) for name in names])
 
 
-def _read_csv(spark: SparkSession, path: str, declared: str, free_text: bool) -> DataFrame:
-    """All files below a path, put together by column name; a column that some files lack is NULL there."""
+def _read_lines(spark: SparkSession, path: str, declared: str) -> list[DataFrame]:
+    """Files whose records are lines, one frame for each header; Spark splits them."""
     parts = []
     for files in _same_headers(spark, path):
-        schema = _header_schema(spark, files, declared, free_text)
-        parts.append(_csv_reader(spark, free_text).option("enforceSchema", False).schema(schema).csv(files))
+        schema = _header_schema(_csv_reader(spark).csv(files[0]).columns, declared)
+        parts.append(_csv_reader(spark).option("enforceSchema", False).schema(schema).csv(files))
+    return parts
+
+
+def _read_quoted(spark: SparkSession, path: str, declared: str) -> list[DataFrame]:
+    """Files whose values may hold line breaks, one frame for each header."""
+    records, heads = quoted_records(spark, path)
+    groups = heads.groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header").collect()
+    parts = []
+    for group in groups:
+        schema = _header_schema(header_names(group["header"]), declared)
+        rows = records if len(groups) == 1 else records.where(F.col("file").isin(group["files"]))
+        row = F.from_csv("text", ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema), {"escape": '"'})
+        parts.append(rows.where(~F.col("first")).select(row.alias("_row")).select("_row.*"))
+    return parts
+
+
+def _read_csv(spark: SparkSession, path: str, declared: str, free_text: bool) -> DataFrame:
+    """All files below a path, put together by column name; a column that some files lack is NULL there."""
+    parts = (_read_quoted if free_text else _read_lines)(spark, path, declared)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
