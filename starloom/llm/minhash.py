@@ -24,6 +24,8 @@ from starloom.session import materialize
 
 #: Longs that hold one bit of every minimum; a signature has two such planes, so two bits of every minimum.
 SKETCH_LONGS = 4
+#: Longs at the begin of a long signature that are compared first, as columns of their own.
+FIRST_LONGS = 32
 
 
 @dataclass(frozen=True)
@@ -34,21 +36,13 @@ class Settings:
     percent: int = 75
     bands: int = 48
     rows: int = 5
-    stars: int = 5
+    stars: int = 2
     fine: int = 4096
     seed: int = 7
 
-    @property
-    def least_equal(self) -> int:
-        """Minima with equal signature bits; a pair at the threshold has fewer with probability 3e-6 (4.5 deviations)."""
-        return self._least(self.bands * self.rows)
-
-    @property
-    def least_fine(self) -> int:
-        """The same for the long signature, whose deviation is a quarter: it tells 0.71 from 0.75."""
-        return self._least(self.fine)
-
-    def _least(self, n: int) -> int:
+    def least(self, n: int) -> int:
+        """Of n minima, those with equal signature bits; a pair at the threshold has fewer with probability 3e-6 (4.5
+        deviations). 240 minima tell 0.6 from 0.75, 4,096 tell 0.71 from it."""
         p = (1 + 3 * self.percent / 100) / 4
         return int(n * p - 4.5 * (n * p * (1 - p)) ** 0.5)
 
@@ -182,18 +176,19 @@ def _agreeing(s: Settings):
         return F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i]).bitwiseOR(F.col("x.bits")[i + SKETCH_LONGS].bitwiseXOR(F.col("y.bits")[i + SKETCH_LONGS])))
 
     equal = s.bands * s.rows - sum((differing(i) for i in range(SKETCH_LONGS)), F.lit(0))
-    return (100 * F.least("x.n", "y.n") >= s.percent * F.greatest("x.n", "y.n")) & (equal >= s.least_equal)
+    return (100 * F.least("x.n", "y.n") >= s.percent * F.greatest("x.n", "y.n")) & (equal >= s.least(s.bands * s.rows))
 
 
-def _finely_agreeing(s: Settings):
-    """Whether the long signatures of x and y allow the similarity; two neighbouring bits belong to one minimum."""
-    even = F.lit(0x5555555555555555)
+def _unlike(word):
+    """How many minima differ in an XOR of long signatures; two neighbouring bits belong to one minimum."""
+    return F.bit_count(word.bitwiseOR(F.shiftrightunsigned(word, 1)).bitwiseAND(F.lit(0x5555555555555555)))
 
-    def differing(total, pair):
-        return total + F.bit_count(pair.bitwiseOR(F.shiftrightunsigned(pair, 1)).bitwiseAND(even))
 
-    unlike = F.aggregate(F.zip_with("x.fine", "y.fine", lambda a, b: a.bitwiseXOR(b)), F.lit(0), differing)
-    return s.fine - unlike >= s.least_fine
+def _finely_agreeing(s: Settings):
+    """Whether the long signatures of x and y allow the similarity: their first words alone, then all of them."""
+    first = sum((_unlike(F.col(f"x.w{i}").bitwiseXOR(F.col(f"y.w{i}"))) for i in range(FIRST_LONGS)), F.lit(0))
+    rest = F.aggregate(F.zip_with("x.fine", "y.fine", lambda a, b: a.bitwiseXOR(b)), first, lambda total, word: total + _unlike(word))
+    return (32 * FIRST_LONGS - first >= s.least(32 * FIRST_LONGS)) & (s.fine - rest >= s.least(s.fine))
 
 
 def verified(pairs: DataFrame, documents: DataFrame, s: Settings) -> DataFrame:
@@ -243,7 +238,9 @@ def near_duplicates(documents: DataFrame, s: Settings = Settings()) -> DataFrame
     mixed = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
     left = materialize(placed.join(mixed, "key").select("key", "id", "root"))
     fine = materialize(fine_signatures(left.select("id").distinct(), documents, s))
-    rows = materialize(left.join(bits, "id").join(fine, "id").select("key", "id", "root", "n", "bits", "fine"))
+    words = [F.get("fine", F.lit(i)).alias(f"w{i}") for i in range(FIRST_LONGS)]
+    rest = F.slice("fine", FIRST_LONGS + 1, -(-s.fine // 32)).alias("fine")
+    rows = materialize(left.join(bits, "id").join(fine, "id").select("key", "id", "root", "n", "bits", *words, rest))
     x, y = rows.alias("x"), rows.alias("y")
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root")) & _agreeing(s) & _finely_agreeing(s))
     pairs = pairs.select(F.least("x.id", "y.id").alias("u"), F.greatest("x.id", "y.id").alias("v")).distinct()
