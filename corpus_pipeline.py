@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starloom.llm.stages import STAGES
 from starloom.session import materialize
 
-#: The rows depend on learned models, so SQL cannot express them; tests/llm/test_pipeline.py checks them instead.
+#: The rows depend on learned models, so SQL cannot express them; tests/llm/test_corpus_pipeline.py checks them instead.
 ORACLE_SQL = None
 
 
