@@ -1,7 +1,7 @@
 """Model bundles: a fitted model with all that is needed to score and judge it later.
 
-Beside the model stands one row: features in order, key, target and its range, the split rule with its seed, and the
-figure that the model was chosen by. That row is written last, so a bundle without it is incomplete and is not loaded.
+Beside the model stands one row: features in order, key, target and its range, the split rule with its seed, the number
+of partitions it was fitted on, and the figure that it was chosen by. That row is written last, so a bundle without it is incomplete and is not loaded.
 A later session reads the bundle and the prepared frame only: the same test rows come out of the stored rule.
 """
 
@@ -22,7 +22,7 @@ from starloom.operators.sampling import split_rows, stratified_split
 
 SCHEMA = (
     "name string, kind string, key string, target string, features array<string>, target_low double, target_high double, "
-    "seed bigint, test_share double, metric string, value double"
+    "seed bigint, test_share double, metric string, value double, partitions int"
 )
 
 
@@ -41,6 +41,7 @@ class About:
     test_share: float = TEST_SHARE
     metric: str | None = None
     value: float | None = None
+    partitions: int | None = None
 
 
 @dataclass(frozen=True)
@@ -101,9 +102,9 @@ def load(path: str, spark: SparkSession) -> Bundle:
 def about_task(task: Task, name: str, metric: str | None = None, value: float | None = None) -> About:
     """The description of a model fitted on a task; the range of a scaled target is read from its rows."""
     if task.target is None or task.target == task.label:
-        return About(name, "classes", task.key, task.label, list(task.features), metric=metric, value=value)
+        return About(name, "classes", task.key, task.label, list(task.features), metric=metric, value=value, partitions=task.partitions)
     row = task.rows.select("target_low", "target_high").first()
-    return About(name, "values", task.key, task.target, list(task.features), row[0], row[1], metric=metric, value=value)
+    return About(name, "values", task.key, task.target, list(task.features), row[0], row[1], metric=metric, value=value, partitions=task.partitions)
 
 
 def save_best(path: str, task: Task, models: Mapping[str, PipelineModel], comparison: DataFrame, metric: str) -> str:

@@ -37,6 +37,7 @@ class Task:
     key: str
     label: str
     target: str | None = None  # the column that the label was made from
+    partitions: int = FIT_PARTITIONS  # of the stored rows; with the seed it decides what learners draw
 
     @property
     def train(self) -> DataFrame:
@@ -53,7 +54,7 @@ def classification_task(
     """Stratified 80/20 split of the classification frame."""
     frame = classification_frame(df, key, target)
     features = [c for c in frame.columns if c not in (key, target)]
-    return Task(stored_for_fits(stratified_split(frame, key, target, test_share=TEST_SHARE, seed=SEED), key, partitions), features, key, target, target)
+    return Task(stored_for_fits(stratified_split(frame, key, target, test_share=TEST_SHARE, seed=SEED), key, partitions), features, key, target, target, partitions)
 
 
 def regression_task(
@@ -63,7 +64,7 @@ def regression_task(
     frame = regression_frame(df, key, target)
     features = [c for c in frame.columns if c not in (key, target)]
     scaled = with_scaled_target(materialize(frame), target)
-    return Task(stored_for_fits(split_rows(scaled, key, TEST_SHARE, SEED), key, partitions), features, key, "target_scaled", target)
+    return Task(stored_for_fits(split_rows(scaled, key, TEST_SHARE, SEED), key, partitions), features, key, "target_scaled", target, partitions)
 
 
 def classifiers(n_train: int, names: Sequence[str] | None = None) -> dict:
