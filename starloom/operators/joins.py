@@ -25,9 +25,12 @@ def with_dimension(fact: DataFrame, dimension: DataFrame, key: str, attributes:
     return fact.join(dimension.select(key, *attributes), key, "left")
 
 
-def with_details(fact: DataFrame, details: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
+def with_details(fact: DataFrame, details: DataFrame, key: str, attributes: Sequence[str], nulls_apart: bool = False) -> DataFrame:
     """Left join to a table that may repeat the key (fan-out kept); clashing names get the suffixes _x and _y.
 
+    With `nulls_apart` it is a plain left join of the rows that have a key, and rows without one are added to it: the form
+    for stored tables that are bucketed by the key, where it needs no shuffle, but cannot be split on a hot key.
+
     Keys without details get one detail row of NULLs first, so that an inner join gives the result of a left join.
     Unlike a left join, an inner join may be split on both sides: a key that holds most of the detail rows does not
     end in one task. Only the key column of the fact table is read for the extra rows.
@@ -38,6 +41,9 @@ def with_details(fact: DataFrame, details: DataFrame, key: str, attributes: Sequ
     left = fact.withColumnsRenamed({a: f"{a}_x" for a in clash})
     right = details.where(F.col(key).isNotNull()).select(key, *attributes)
     right = right.withColumnsRenamed({a: f"{a}_y" for a in clash})
+    if nulls_apart:
+        known = left.where(F.col(key).isNotNull()).join(right, key, "left")
+        return known.unionByName(left.where(F.col(key).isNull()), allowMissingColumns=True).select(*left.columns, *[c for c in right.columns if c != key])
     without = left.select(key).distinct().join(right.select(key).distinct(), key, "left_anti")
     filled = right.unionByName(without, allowMissingColumns=True).withColumnRenamed(key, "_key")
     # A fact row without a key has exactly one filler row to meet.

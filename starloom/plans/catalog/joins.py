@@ -1,12 +1,14 @@
 """Joins of the star schema."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from starloom.functions.numeric import rounded
 from starloom.operators import joins
 from starloom.plans.bindings import rnd
 from starloom.plans.catalog.registry import query
-from starloom.plans.warehouse import clean_salaries
+from starloom.plans.warehouse import bucketed_sources, build_fact, clean_salaries
 
 TOP15 = {
     "top15": "SELECT skill_abr, COUNT(*) AS n FROM bridge GROUP BY 1 ORDER BY n DESC, skill_abr LIMIT 15",
@@ -68,16 +70,26 @@ def _(t):
     return joins.cooccurrence(t.bridge, "job_id", "skill_abr", 15)
 
 
-@query("etl_fact", f"""SELECT job_id, company_id, work_type, listed_month, is_remote, name, company_size, state, country,
-    {rnd("salary_midpoint", 2)} AS salary_midpoint, pay_period, skill_count, apply_rate FROM fact""")
-def _(t):
-    """The whole warehouse plan in one query, computed from the raw tables."""
-    from starloom.plans.warehouse import build_fact
+_FACT = f"""SELECT job_id, company_id, work_type, listed_month, is_remote, name, company_size, state, country,
+    {rnd("salary_midpoint", 2)} AS salary_midpoint, pay_period, skill_count, apply_rate FROM fact"""
 
-    fact = build_fact(t.sources).withColumn("salary_midpoint", rounded("salary_midpoint", 2))
-    return fact.select(
+
+def _fact_columns(fact):
+    return fact.withColumn("salary_midpoint", rounded("salary_midpoint", 2)).select(
         "job_id", "company_id", "work_type", "listed_month", "is_remote", "name", "company_size", "state", "country",
         "salary_midpoint", "pay_period", "skill_count", "apply_rate",
     )
 
 
+@query("etl_fact", _FACT)
+def _(t):
+    """The whole warehouse plan in one query, computed from the raw tables."""
+    return _fact_columns(build_fact(t.sources))
+
+
+@query("etl_fact_bucketed", _FACT)
+def _(t):
+    """The same from source tables that were saved in buckets of a job; its joins by the job do not shuffle."""
+    database = f"starloom_{uuid.uuid4().hex}"
+    t.spark.sql(f"CREATE DATABASE {database}")
+    return _fact_columns(build_fact(bucketed_sources(t.sources, database, 16), bucketed=True))

@@ -26,10 +26,30 @@ def clean_salaries(salaries: DataFrame) -> DataFrame:
     return in_range(salaries.withColumn("salary_midpoint", midpoint("min_salary", "max_salary")), "salary_midpoint", *SALARY_RANGE)
 
 
-def build_fact(tables: Mapping[str, DataFrame], unique_salaries: bool = False) -> DataFrame:
+#: Source tables that are joined by the job.
+JOB_TABLES = ("job_postings", "job_skills", "salaries")
+
+
+def bucketed_sources(tables: Mapping[str, DataFrame], database: str, buckets: int, key: str = "job_id") -> dict[str, DataFrame]:
+    """The source tables, those of a job saved to a catalog database in `buckets` buckets by the job, sorted in each.
+
+    Each is shuffled once, when it is written; every later join or count by the job reads matching buckets. `buckets`
+    should give files of a few hundred MB and is kept with the tables. Rows without a key lie in one bucket.
+    """
+    out = dict(tables)
+    for name in JOB_TABLES:
+        df = standard_names(tables[name])
+        if key in df.columns:
+            df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(f"{database}.{name}")
+            out[name] = df.sparkSession.table(f"{database}.{name}")
+    return out
+
+
+def build_fact(tables: Mapping[str, DataFrame], unique_salaries: bool = False, bucketed: bool = False) -> DataFrame:
     """Postings joined with company, salary and category count, plus derived columns.
 
-    Salary rows may repeat a job; `unique_salaries` keeps the fact table at one row per posting.
+    Salary rows may repeat a job; `unique_salaries` keeps the fact table at one row per posting. With `bucketed` the
+    tables are those of `bucketed_sources`, and no join by the job shuffles.
     """
     fact = standard_names(tables["job_postings"])
     if "original_listed_time" in fact.columns:
@@ -38,18 +58,23 @@ def build_fact(tables: Mapping[str, DataFrame], unique_salaries: bool = False) -
     remote = flag("remote_allowed") if "remote_allowed" in fact.columns else F.lit(0)
     fact = fact.withColumn("is_remote", remote)
     companies = standard_names(tables["companies"])
-    fact = with_dimension(fact, companies, "company_id", present(companies, COMPANY_ATTRIBUTES))
+    if not bucketed:
+        fact = with_dimension(fact, companies, "company_id", present(companies, COMPANY_ATTRIBUTES))
     salaries = clean_salaries(tables["salaries"])
     attributes = present(salaries, SALARY_ATTRIBUTES)
+    bridge = standard_names(tables["job_skills"])
+    if "job_id" in bridge.columns and bucketed:
+        fact = with_counts(fact, bridge, "job_id", "skill_count")
     if unique_salaries:
         row = F.min(F.struct(*attributes)).alias("_row")
         salaries = salaries.groupBy("job_id").agg(row).select("job_id", "_row.*")
         fact = with_dimension(fact, salaries, "job_id", attributes)
     else:
-        fact = with_details(fact, salaries, "job_id", attributes)
-    bridge = standard_names(tables["job_skills"])
-    if "job_id" in bridge.columns:
+        fact = with_details(fact, salaries, "job_id", attributes, nulls_apart=bucketed)
+    if "job_id" in bridge.columns and not bucketed:
         fact = with_counts(fact, bridge, "job_id", "skill_count")
+    if bucketed:  # the company's key comes last, as its join ends the buckets
+        fact = with_dimension(fact, companies, "company_id", present(companies, COMPANY_ATTRIBUTES))
     if {"applies", "views"} <= set(fact.columns):
         fact = fact.withColumn("apply_rate", ratio_or_null("applies", "views"))
     return fact

@@ -152,3 +152,31 @@ def test_fits_do_not_depend_on_the_layout_of_the_input(spark):
     df = spark.range(400).selectExpr("id AS k", "cast(id % 7 AS double) AS a")
     parts = [stored_for_fits(df.repartition(n), "k", 6).rdd.glom().map(lambda rows: [r["k"] for r in rows]).collect() for n in (3, 11)]
     assert parts[0] == parts[1] and len(parts[0]) == 6
+
+
+def test_bucketed_sources_join_without_shuffles_by_the_job(spark):
+    import uuid
+
+    from starloom.plans.warehouse import bucketed_sources
+
+    n = 300
+    tables = {
+        "job_postings": spark.range(n).selectExpr("IF(id % 50 = 0, NULL, id) AS job_id", "id % 7 AS company_id", "CAST(id AS DOUBLE) AS applies", "2.0D AS views"),
+        "companies": spark.range(6).selectExpr("id AS company_id", "concat('c', id) AS name", "'1-10' AS company_size", "'CA' AS state", "'US' AS country"),
+        "salaries": spark.range(2 * n).selectExpr("IF(id % 3 = 0, 7, id DIV 3) AS job_id", "20000.0D + id AS min_salary", "30000.0D AS max_salary", "'YEARLY' AS pay_period"),
+        "job_skills": spark.range(n).selectExpr("IF(id % 11 = 0, NULL, id % 40) AS job_id", "'IT' AS skill_abr"),
+    }
+    database = f"starloom_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = build_fact(bucketed_sources(tables, database, 4), bucketed=True)
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert exchanges and not any("job_id" in line for line in exchanges)
+        expected = build_fact(tables).select(*sorted(fact.columns))
+        assert sorted(map(str, fact.select(*sorted(fact.columns)).collect())) == sorted(map(str, expected.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql(f"DROP DATABASE {database} CASCADE")
