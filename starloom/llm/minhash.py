@@ -133,16 +133,18 @@ def _texts_of(ids: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def fine_signatures(ids: DataFrame, documents: DataFrame, s: Settings) -> DataFrame:
-    """id, fine: the long signature of each listed id (with rows of unlike texts under one id: of the least such text)."""
-    texts = _texts_of(ids, documents).join(ids, "id").groupBy("id").agg(F.min("text").alias("text"))
+    """id, fine: the long signature of each listed id; null, which agrees with all, where rows of one id differ in text."""
+    texts = _texts_of(ids, documents).join(ids, "id").groupBy("id").agg(F.min("text").alias("a"), F.max("text").alias("b"))
+    texts = texts.select("id", F.when(F.col("a") == F.col("b"), F.col("a")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, limit=1 << 20):
             sets = shingle_sets(batch.column("text"), s.size)
-            full = np.flatnonzero([len(x) > 0 for x in sets])
-            if len(full):
-                signed = _fine_signatures([sets[k] for k in full], s)
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(full)), pa.array(list(signed), pa.list_(pa.int64()))], ["id", "fine"])
+            signed, full = [None] * len(sets), [k for k, x in enumerate(sets) if len(x)]
+            if full:
+                for k, x in zip(full, _fine_signatures([sets[k] for k in full], s), strict=True):
+                    signed[k] = x
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(signed, pa.list_(pa.int64()))], ["id", "fine"])
 
     return texts.mapInArrow(run, "id bigint, fine array<bigint>")
 
@@ -188,7 +190,8 @@ def _finely_agreeing(s: Settings):
     """Whether the long signatures of x and y allow the similarity: their first words alone, then all of them."""
     first = sum((_unlike(F.col(f"x.w{i}").bitwiseXOR(F.col(f"y.w{i}"))) for i in range(FIRST_LONGS)), F.lit(0))
     rest = F.aggregate(F.zip_with("x.fine", "y.fine", lambda a, b: a.bitwiseXOR(b)), first, lambda total, word: total + _unlike(word))
-    return (32 * FIRST_LONGS - first >= s.least(32 * FIRST_LONGS)) & (s.fine - rest >= s.least(s.fine))
+    agree = (32 * FIRST_LONGS - first >= s.least(32 * FIRST_LONGS)) & (s.fine - rest >= s.least(s.fine))
+    return F.coalesce(agree, F.lit(True))
 
 
 def verified(pairs: DataFrame, documents: DataFrame, s: Settings) -> DataFrame:

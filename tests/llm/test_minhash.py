@@ -89,6 +89,19 @@ def test_large_group_between_the_limits(spark):
     assert _found(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5))) == expected
 
 
+def test_long_signatures(spark):
+    """Equal bits of long signatures follow the similarity; ids with unlike texts have none."""
+    words = [f"w{k}" for k in range(400)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:350])), (3, " ".join(words)), (4, "x y z"), (4, "quite another"), (5, "short")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    s = minhash.Settings()
+    found = {r.id: r.fine for r in minhash.fine_signatures(docs.select(docs.doc_id.alias("id")).distinct(), docs, s).collect()}
+    assert found[4] is None and found[1] == found[3] and len(found[5]) == s.fine // 32
+    unlike = sum(bin(((a ^ b) | ((a ^ b) >> 1)) & 0x5555555555555555).count("1") for a, b in zip(*([x & (2**64 - 1) for x in found[k]] for k in (1, 2)), strict=True))
+    similarity = 346 / 396
+    assert abs((s.fine - unlike) / s.fine - (1 + 3 * similarity) / 4) < 0.03
+
+
 def test_rows_without_id_in_the_pipeline_stage(spark):
     text = " ".join(f"w{k}" for k in range(60))
     rows = [(7, text, "a"), (9, text + " more", "b"), (None, text, "c"), (None, "quite another text of seven words here", "d"), (None, "quite another text of seven words here", "d"), (None, None, "e"), (None, "", "f"), (8, "", "g")]
