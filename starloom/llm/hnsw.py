@@ -48,8 +48,9 @@ def beam_search(x: np.ndarray, links: np.ndarray, queries: np.ndarray, entries:
         new = ~seen[live[:, None], fresh]
         new[:, 1:] &= fresh[:, 1:] != fresh[:, :-1]
         seen[live[:, None], fresh] = True
-        found = np.einsum("akd,ad->ak", x[fresh], queries[live], optimize=False)
-        found[~new] = -2
+        # Most nodes of a later step have been met before; only the others are compared.
+        found = np.full(fresh.shape, -2, np.float32)
+        found[new] = np.einsum("kd,kd->k", x[fresh[new]], np.repeat(queries[live], new.sum(1), axis=0))
         both = np.concatenate([ids[live], np.where(new, fresh, NONE)], 1), np.concatenate([sims[live], found], 1)
         marks = np.concatenate([open_[live], new], 1)
         order = np.argsort(-both[1], axis=1, kind="stable")[:, :beam]
@@ -153,6 +154,11 @@ def _link_back(x: np.ndarray, links: np.ndarray, start: int, stop: int, block: i
         part = nodes[at : at + block]
         ids = np.sort(np.concatenate([links[part], incoming[at : at + block]], 1), axis=1)
         ids[:, 1:][ids[:, 1:] == ids[:, :-1]] = NONE
+        # A list that has room keeps all its nodes; only the others are weighed against each other.
+        count = (ids != NONE).sum(1)
+        room, ids = count <= most, np.sort(ids, axis=1)[:, ::-1]
+        links[part[room]] = ids[room, :most]
+        part, ids = part[~room], ids[~room, : count.max()]
         s = np.einsum("akd,ad->ak", x[ids], x[part])
         s[ids == NONE] = -2
         ids, s = _sorted(ids, s, ids.shape[1])
