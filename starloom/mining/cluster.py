@@ -302,6 +302,23 @@ def project_centroids(model: PipelineModel, kmeans: KMeansModel, spark) -> DataF
     return project(model, centres).select("cluster", "pc1", "pc2")
 
 
+def plane_decomposition(model: PipelineModel, labelled: DataFrame, kmeans: KMeansModel) -> DataFrame:
+    """component, n, sum_of_squares of labelled rows in the projected plane, one row per component.
+
+    Squares from the rows to their projected centre and from that to the origin, which is the projected mean. They add up to
+    the squares of the rows themselves exactly where each projected centre is the mean of its projected rows.
+    """
+    centres = project_centroids(model, kmeans, labelled.sparkSession).select("cluster", F.col("pc1").alias("c1"), F.col("pc2").alias("c2"))
+    points = project(model, labelled).select("cluster", "pc1", "pc2").join(F.broadcast(centres), "cluster")  # one row per cluster
+
+    def squares(i: int) -> Column:
+        row, centre = F.col(f"pc{i}"), F.col(f"c{i}")
+        return F.sum((row - centre) * (row - centre) + centre * centre)
+
+    sums = points.agg(F.count(F.lit(1)).alias("n"), squares(1).alias("_1"), squares(2).alias("_2"))
+    return sums.select(F.expr("stack(2, 1, n, _1, 2, n, _2) AS (component, n, sum_of_squares)"))
+
+
 def scatter(model: PipelineModel, labelled: DataFrame, names: DataFrame, key: str, n: int = 10_000) -> DataFrame:
     """Seeded sample of projected rows with cluster and name."""
     sample = sample_rows(labelled, key, n)

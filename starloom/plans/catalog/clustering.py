@@ -206,6 +206,16 @@ def _(t):
     return C.project_centroids(C.fit_projection(rows), model, t.spark)
 
 
+@query("clu_plane", f"""SELECT 1::INTEGER AS component, (SELECT COUNT(*) FROM fit_matrix) AS n,
+    {rnd("value * ((SELECT COUNT(*) FROM fit_matrix) - 1)", 4)} AS sum_of_squares FROM axis1
+    UNION ALL SELECT 2, (SELECT COUNT(*) FROM fit_matrix), {rnd("value * ((SELECT COUNT(*) FROM fit_matrix) - 1)", 4)} FROM axis2""", _PCA)
+def _(t):
+    """Whether the projected centres belong to the projected rows: squares within and between the clusters, on each axis, add
+    up to what the eigenvalues that SQL finds give for all rows."""
+    rows, model, labelled = clustered(t)
+    return C.plane_decomposition(C.fit_projection(rows), labelled, model).withColumn("sum_of_squares", rounded("sum_of_squares", 4))
+
+
 @query("clu_scatter")
 def _(t):
     rows, _, labelled = clustered(t)

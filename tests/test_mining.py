@@ -170,6 +170,22 @@ def test_projection_is_centred_and_orthogonal(spark):
     assert cluster.project_centroids(model, kmeans, spark).count() == 3
 
 
+def test_projected_centres_belong_to_their_rows(spark):
+    df, points, _ = blobs(spark)
+    model, rows = cluster.fit_projection(df), df.select("id", "features")
+    kmeans = cluster.fit_kmeans(rows, 3, restarts=4)
+    labelled = cluster.assign(kmeans, rows)
+    values = np.linalg.svd(points - points.mean(0), compute_uv=False)[:2] ** 2
+
+    def squares(frame):
+        return [r["sum_of_squares"] for r in cluster.plane_decomposition(model, frame, kmeans).orderBy("component").collect()]
+
+    assert squares(labelled) == pytest.approx(list(values))
+    # Rows under the name of another cluster, even in equal numbers, don't add up.
+    wrong = squares(labelled.withColumn("cluster", (F.col("cluster") + 1) % 3))
+    assert all(abs(a - b) > 1e-3 * b for a, b in zip(wrong, values))
+
+
 def test_cluster_names_and_profiles(spark):
     rows = [(0, ["IT", "ENG"])] * 6 + [(0, ["IT"])] * 4 + [(1, ["XX"])] + [(1, [f"t{i}"]) for i in range(10)]
     df = spark.createDataFrame(rows, "cluster int, items array<string>")
