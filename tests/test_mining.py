@@ -326,3 +326,12 @@ def test_scorecard_leaves_out_missing_tasks(spark):
     row = spark.createDataFrame([(0.9, 0.8, 0.7)], "accuracy double, f1 double, roc_auc double")
     got = [tuple(r) for r in scorecard({"classification": row}).collect()]
     assert got == [("classification", "accuracy", 0.9), ("classification", "f1", 0.8), ("classification", "roc_auc", 0.7)]
+
+
+def test_rule_numbers_count_all_rules(spark, small):
+    from starloom.plans.catalog import QUERIES
+
+    listed = QUERIES["arm_rules"](spark, small)
+    weakest = listed.agg(F.min("confidence")).first()[0]
+    numbers = QUERIES["arm_eval"](spark, small).first()
+    assert numbers["total_rules"] == listed.count() and numbers["min_confidence"] == weakest < 0.3
