@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import arrays, encode, text
 from starloom.functions.numeric import rounded
-from starloom.operators.aggregate import item_lists, item_sets
+from starloom.operators.aggregate import item_flags, item_lists, item_sets
 from starloom.plans.bindings import BRAND_CODES, WORK_TYPES, _case, rnd
 from starloom.plans.catalog.registry import query
 
@@ -113,9 +113,7 @@ def _(t):
 @query("arr_basket_matrix", "SELECT job_id, " + ", ".join(
     f"CAST(bool_or(skill_abr = '{c}') AS INTEGER) AS \"{c}\"" for c in sorted(BRAND_CODES)) + " FROM bridge GROUP BY 1")
 def _(t):
-    # The item list is fixed, so the pivot needs no extra pass and one partial aggregate per key.
-    present = t.bridge.groupBy("job_id").pivot("skill_abr", sorted(BRAND_CODES)).agg(F.lit(1))
-    return present.fillna(0)
+    return item_flags(t.bridge, "job_id", "skill_abr", sorted(BRAND_CODES))
 
 
 @query("arr_size", "SELECT job_id, CAST(len(items) AS INTEGER) AS n_items FROM lists", _LISTS)

@@ -291,3 +291,21 @@ def test_metric_frames(spark):
     table = spark.createDataFrame([("ols", 1.0, 0.5)], "model string, rmse double, r2 double")
     got = sets.with_naive_baseline(table, frame(spark, [1.0, 3.0]), "v", "naive").collect()
     assert [tuple(r) for r in got] == [("naive", 1.0, 0.0), ("ols", 1.0, 0.5)]
+
+
+def test_item_flags_keep_one_small_state_a_key(spark):
+    items = [f"i{n}" for n in range(70)]
+    rows = [(1, "i0"), (1, "i0"), (1, "i69"), (2, "other"), (3, None), (None, "i61"), (2, "i62")]
+    df = spark.createDataFrame(rows, "k int, item string")
+    flags = aggregate.item_flags(df, "k", "item", items)
+    got = {r["k"]: {c for c in items if r[c] == 1} for r in flags.collect()}
+    assert got == {1: {"i0", "i69"}, 2: {"i62"}, 3: set(), None: {"i61"}}
+    assert {t for c, t in flags.dtypes if c != "k"} == {"int"}
+
+
+def test_basket_matrix_is_grouped_by_the_job_only(spark, small):
+    from starloom.plans.catalog import QUERIES
+
+    plan = QUERIES["arr_basket_matrix"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    keys = [line.split("keys=")[1].split("]")[0] for line in plan.splitlines() if "Aggregate(" in line]
+    assert keys and not any("skill_abr" in k for k in keys)
