@@ -180,3 +180,30 @@ def test_bucketed_sources_join_without_shuffles_by_the_job(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_fact_moves_the_postings_twice_only(spark):
+    """All joins by the job share a shuffle of the postings; that by the company is the other one."""
+    n = 300
+    tables = {
+        "job_postings": spark.range(n).selectExpr("IF(id % 50 = 0, NULL, id) AS job_id", "id % 7 AS company_id", "CAST(id AS DOUBLE) AS applies", "2.0D AS views"),
+        "companies": spark.range(6).selectExpr("id AS company_id", "concat('c', id) AS name"),
+        "salaries": spark.range(2 * n).selectExpr("IF(id % 3 = 0, 7, id DIV 3) AS job_id", "20000.0D + id AS min_salary", "30000.0D AS max_salary"),
+        "job_skills": spark.range(n).selectExpr("IF(id % 11 = 0, NULL, id % 40) AS job_id", "'IT' AS skill_abr"),
+    }
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = build_fact(tables)
+
+        def exchanged(node):
+            children = node.children()
+            below = [e for i in range(children.size()) for e in exchanged(children.apply(i))]
+            return below + ([node.output().mkString(",")] if node.nodeName() == "Exchange" else [])
+
+        moved = [columns for columns in exchanged(fact._jdf.queryExecution().executedPlan().initialPlan()) if "applies" in columns]
+        # One for the job's details and one for the company, besides the one that the test itself asks for.
+        assert len([columns for columns in moved if "skill_count" in columns]) == 2 and len(moved) == 3
+        assert fact.columns == ["job_id", "company_id", "applies", "views", "is_remote", "name", "salary_midpoint", "min_salary", "max_salary", "skill_count", "apply_rate"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
