@@ -32,7 +32,7 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), "value")
 
 
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
+def runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
     """Parts of a batch that belong to one split."""
     files, splits = batch.column("file").dictionary_encode().indices.to_numpy(), batch.column("split").to_numpy()
     cuts = np.flatnonzero((files[1:] != files[:-1]) | (splits[1:] != splits[:-1])) + 1
@@ -57,7 +57,7 @@ def split_states(spark: SparkSession, path: str | list[str]) -> DataFrame:
         heads: dict[str, list[str]] = {}
         done: set[str] = set()
         for batch in batches:
-            for key, part in _runs(batch):
+            for key, part in runs(batch):
                 lines = _odd(part.column("value"))
                 if key[1] == 0 and key[0] not in done:
                     state = odd.get(key, False)
@@ -95,7 +95,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out(["\n".join(held)], [BEGIN if kind == WHOLE else REST], [first])
 
     for batch in batches:
-        for where, part in _runs(batch):
+        for where, part in runs(batch):
             if where != key:
                 yield from rest()
                 key, held = where, []

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.operators.project import nulls_for_nan
-from starloom.sources.quoted import header_names, quoted_records
+from starloom.sources.quoted import header_names, quoted_records, runs
 
 # Logical source tables and their files.
 SOURCE_FILES = {
@@ -59,9 +60,18 @@ def _csv_reader(spark: SparkSession):
 def _same_headers(spark: SparkSession, path: str) -> list[list[str]]:
     """The CSV files below a path, grouped by their header line."""
     first = F.split(F.col("value"), r"\r?\n", 2)[0]
-    files = spark.read.text(path, wholetext=False).select(F.input_file_name().alias("file"), first.alias("header"), F.col("_metadata.file_block_start").alias("at"))
-    # A file's first line is the first row of its first block.
-    heads = files.where("at = 0").groupBy("file").agg(F.first("header").alias("header"))
+    lines = spark.read.text(path, wholetext=False).select(F.input_file_name().alias("file"), F.col("_metadata.file_block_start").alias("split"), first.alias("header"))
+
+    def leading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A file's first line is the first row of its first block; an aggregate of texts would sort all lines for it.
+        seen = set()
+        for batch in batches:
+            for (file, _), part in runs(batch):
+                if file not in seen:
+                    seen.add(file)
+                    yield part.slice(0, 1).select(["file", "header"])
+
+    heads = lines.where("split = 0").mapInArrow(leading, "file string, header string")
     groups = heads.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
     return [sorted(g["files"]) for g in sorted(groups, key=lambda g: g["header"])]
 

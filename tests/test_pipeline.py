@@ -207,3 +207,18 @@ def test_fact_moves_the_postings_twice_only(spark):
         assert fact.columns == ["job_id", "company_id", "applies", "views", "is_remote", "name", "salary_midpoint", "min_salary", "max_salary", "skill_count", "apply_rate"]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_headers_of_many_files_without_a_sort_of_their_lines(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    heads = {"a.csv": "job_id,skill_abr", "b.csv": "skill_abr,job_id", "c.csv": "job_id,skill_abr"}
+    for i, (name, head) in enumerate(heads.items()):
+        (tmp_path / name).write_text(head + "\n" + "".join(f"{i}{k},{i}{k}\n" for k in range(30_000)))
+    (tmp_path / "empty.csv").write_text("")
+    plans, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or collect(df))
+    groups = readers._same_headers(spark, str(tmp_path))
+    assert [[os.path.basename(f) for f in g] for g in groups] == [["a.csv", "c.csv"], ["b.csv"]]
+    # The texts of files may be gathered per header, but no line is sorted or grouped by its file.
+    assert plans and not any("Sort [file" in p or "keys=[file" in p or "key=[file" in p for p in plans)
