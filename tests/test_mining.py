@@ -335,3 +335,13 @@ def test_rule_numbers_count_all_rules(spark, small):
     weakest = listed.agg(F.min("confidence")).first()[0]
     numbers = QUERIES["arm_eval"](spark, small).first()
     assert numbers["total_rules"] == listed.count() and numbers["min_confidence"] == weakest < 0.3
+
+
+def test_fits_have_more_partitions_with_more_rows(spark, postings, monkeypatch):
+    from starloom import session
+
+    assert [session.fit_partitions(n) for n in (0, 8_000_000, 8_000_001, 45_000_000)] == [32, 32, 33, 180]
+    monkeypatch.setattr(session, "FIT_ROWS", 10)
+    for task, n in ((supervised.classification_task(postings), 48), (supervised.regression_task(postings), 45)):
+        assert (task.partitions, task.rows.rdd.getNumPartitions()) == (n, n)
+    assert supervised.regression_task(postings, partitions=5).rows.rdd.getNumPartitions() == 5
