@@ -309,3 +309,12 @@ def test_basket_matrix_is_grouped_by_the_job_only(spark, small):
     plan = QUERIES["arr_basket_matrix"](spark, small)._jdf.queryExecution().executedPlan().toString()
     keys = [line.split("keys=")[1].split("]")[0] for line in plan.splitlines() if "Aggregate(" in line]
     assert keys and not any("skill_abr" in k for k in keys)
+
+
+def test_item_sets_shuffle_once(spark):
+    rows = [(1, "b"), (1, "a"), (1, "b"), (2, None), (3, "c"), (None, "d")] + [(4, f"i{n % 7}") for n in range(2000)]
+    df = spark.createDataFrame(rows, "k int, item string").repartition(5)
+    sets = aggregate.item_sets(df, "k", "item")
+    got = {r["k"]: r["items"] for r in sets.collect()}
+    assert got == {1: ["a", "b"], 3: ["c"], None: ["d"], 4: [f"i{n}" for n in range(7)]}
+    assert sets._jdf.queryExecution().sparkPlan().toString().count("Aggregate(key") == 2
