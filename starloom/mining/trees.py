@@ -8,11 +8,13 @@ a table that was stored scores without the learner that made it.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Model
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,9 +44,12 @@ def tree_table(model: Model | PipelineModel, features: Sequence[str]) -> DataFra
     """The nodes of a fitted tree, forest or boosted ensemble as rows of SCHEMA; leaves have no feature.
 
     `n` counts training rows (in a forest: drawn rows), `stats` holds the class counts, or count, sum and sum of squares of
-    a regression. `weight` is the share of the tree in the ensemble. Paths are found from the root down, one join for each level.
+    a regression; a model that was fitted on cells counts these in `n`, and its thresholds of bin numbers are turned back to
+    values of the features. `weight` is the share of the tree in the ensemble. Paths are found from the root down, one join for each level.
     """
     fitted = model.stages[-1] if isinstance(model, PipelineModel) else model
+    stages = model.stages if isinstance(model, PipelineModel) else []
+    bins = next((s.getSplitsArray() for s in stages if isinstance(s, Bucketizer)), None)
     spark = SparkSession.active()
     nodes = materialize(_saved(fitted, spark))
     names = F.array(*[F.lit(f) for f in features])
@@ -62,13 +67,18 @@ def tree_table(model: Model | PipelineModel, features: Sequence[str]) -> DataFra
     for level in levels[1:]:
         rows = rows.unionByName(level)
     inner = F.col("leftChild") >= 0
+    threshold = F.get("split.leftCategoriesOrThreshold", F.lit(0))
+    if bins is not None:
+        # Of bin numbers: the last value of the last bin that goes left.
+        ends = F.lit([[math.nextafter(x, -math.inf) for x in splits[1:]] for splits in bins])
+        threshold = F.get(F.get(ends, F.col("split.featureIndex")), F.floor(threshold).cast("int"))
     return materialize(rows.select(
         F.col("tree").cast("int").alias("tree"),
         "id",
         "node",
         F.floor(F.log2("node")).cast("int").alias("depth"),
         F.when(inner, F.get(names, F.col("split.featureIndex"))).alias("feature"),
-        F.when(inner, F.get("split.leftCategoriesOrThreshold", F.lit(0))).alias("threshold"),
+        F.when(inner, threshold).alias("threshold"),
         F.when(inner, F.col("leftChild")).alias("left"),
         F.when(inner, F.col("rightChild")).alias("right"),
         F.col("rawCount").alias("n"),
