@@ -6,7 +6,8 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from starloom.mining import cells, supervised
+from starloom.mining import bundle, cells, supervised
+from starloom.session import scratch
 
 RNG = np.random.default_rng(11)
 
@@ -40,6 +41,18 @@ def test_boosting_on_cells_is_boosting_on_rows(task):
     assert ours.stages[-1].trees[0].numNodes > 5 and type(ours.stages[0]).__name__ == "Bucketizer"
 
 
+def test_bundle_keeps_the_bins(spark, task):
+    boosted = supervised.regressors(1, 1.0, ["Gradient Boosting"])["Gradient Boosting"]
+    model = supervised.fit_on_cells(task, boosted.copy({boosted.maxIter: 1}))
+    path = scratch(spark)
+    bundle.save(path, model, bundle.about_task(task, "g"), spark)
+    rows = task.test.select("job_id", *task.features, "salary_clean")
+    again = bundle.load(path, spark).predict(rows).select("job_id", F.col("predicted").alias("again"))
+    own = supervised.value_predictions(task, {"g": model}).select("job_id", "predicted_value")
+    both = [(r[1], r[2]) for r in own.join(again, "job_id").collect()]
+    assert len(both) == rows.count() and all(a == pytest.approx(b, rel=1e-9) for a, b in both)
+
+
 def test_cuts():
     assert cells._cuts([0.0] * 60 + [float(k) for k in range(1, 41)], 5) == [0.0, 10.0, 20.0, 30.0]
     assert cells._cuts([1.0] * 10, 4) == []
