@@ -15,12 +15,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm.common import text_bytes, text_slices
+from starloom.llm.common import small_batches, text_bytes, text_slices
 
 #: Vocabularies have at most so many entries, which bounds what is broadcast.
 MOST_RANKS = 300_000
-#: Words whose ids a task keeps at hand; it starts anew when it has more.
-KEPT_WORDS = 400_000
+#: Words of a generation whose ids a task keeps at hand; a full one gives way to a new one, which takes over what it meets again.
+KEPT_WORDS = 100_000
+#: Bytes of texts or ids that a task works on at once; more gain no time.
+SLICE = 1 << 20
 #: Words of fewer bytes are merged over a list of pairs, longer ones over a heap.
 SHORT = 100
 
@@ -91,21 +93,22 @@ def encode(texts: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "
 
     Repeated rows stay; other columns are left out.
     """
+    small_batches(texts.sparkSession)
     shared = texts.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        find, ranks, known = regex.compile(pattern).findall, shared.value, {}
-        for batch in text_slices(batches):
+        find, ranks, known, older = regex.compile(pattern).findall, shared.value, {}, {}
+        for batch in text_slices(batches, limit=SLICE):
             out = []
             for value in batch.column("text").to_pylist():
                 words = find(value) if value else []
                 for word in set(words).difference(known):
-                    known[word] = b"".join(i.to_bytes(4, "little") for i in merge_word(word.encode(), ranks))
+                    known[word] = older.get(word) or b"".join(i.to_bytes(4, "little") for i in merge_word(word.encode(), ranks))
                 out.append(b"".join([known[w] for w in words]))
                 if len(known) > KEPT_WORDS:
-                    known.clear()
+                    known, older = {}, known
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(out, pa.binary())], [key, "ids"])
 
     kind = texts.schema[key].dataType.simpleString()
@@ -119,11 +122,12 @@ def decode(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     table = [b""] * (max(ranks.values(), default=-1) + 1)
     for piece, rank in ranks.items():
         table[rank] = piece
+    small_batches(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pa.array(shared.value, pa.binary())
-        for batch in text_slices(batches, "ids"):
+        for batch in text_slices(batches, "ids", SLICE):
             flat, ends = text_bytes(batch.column("ids"))
             taken = pieces.take(pa.array(np.frombuffer(flat.tobytes(), "<u4").astype(np.int64)))
             # The pieces of a row lie one after the other: their bytes need other offsets only.

@@ -7,6 +7,7 @@ import public_tokenizers
 import tiktoken
 
 from starloom.llm import bpe
+from starloom.llm.common import BATCH_ROWS
 from starloom.llm.queries import QUERIES, token_digests
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -60,3 +61,25 @@ def test_decoding_of_nulls_and_empty_rows(spark):
     assert {r.doc_id: r.decoded and bytes(r.decoded) for r in bpe.decode(rows, ranks).collect()} == {1: b"one two", 2: b"", 3: b"", 4: None}
     only_empty = rows.where("doc_id IN (2, 3)").coalesce(1)
     assert [bytes(r.decoded) for r in bpe.decode(only_empty, ranks).collect()] == [b"", b""]
+
+
+def test_batches_and_kept_words_are_bounded(spark, monkeypatch):
+    """Batches of 10,000 whole texts, in two Python steps a task, took an executor beyond its memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    ranks, before = bpe.read_ranks(PATH), spark.conf.get(name)
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 2)
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(TEXTS * 3)], "doc_id bigint, text string").coalesce(1)
+    try:
+        spark.conf.set(name, 10_000)
+        rows = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks).collect()
+        assert int(spark.conf.get(name)) == BATCH_ROWS
+        spark.conf.set(name, 7)
+        bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+        assert int(spark.conf.get(name)) == 7
+    finally:
+        spark.conf.set(name, before)
+    library = _library()
+    for r in rows:
+        text = TEXTS[r.doc_id % len(TEXTS)] or ""
+        assert bytes(r.ids) == b"".join(i.to_bytes(4, "little") for i in library.encode_ordinary(text))
+        assert bytes(r.decoded) == text.encode()
