@@ -44,8 +44,7 @@ def tree_table(model: Model | PipelineModel, features: Sequence[str]) -> DataFra
     """The nodes of a fitted tree, forest or boosted ensemble as rows of SCHEMA; leaves have no feature.
 
     `n` counts training rows (in a forest: drawn rows), `stats` holds the class counts, or count, sum and sum of squares of
-    a regression; a regression that was fitted on cells counts these in `n`. Thresholds of bin numbers are turned back to
-    values of the features. `weight` is the share of the tree in the ensemble. Paths are found from the root down, one join for each level.
+    a regression. Thresholds of bin numbers are turned back to values of the features. `weight` is the share of the tree in the ensemble. Paths are found from the root down, one join for each level.
     """
     fitted = model.stages[-1] if isinstance(model, PipelineModel) else model
     stages = model.stages if isinstance(model, PipelineModel) else []
@@ -68,8 +67,9 @@ def tree_table(model: Model | PipelineModel, features: Sequence[str]) -> DataFra
         rows = rows.unionByName(level)
     inner = F.col("leftChild") >= 0
     threshold = F.get("split.leftCategoriesOrThreshold", F.lit(0))
-    # Weights of cells are numbers of rows, so the class counts add up to the rows of a node.
-    count = _total("impurityStats").cast("bigint") if bins is not None and hasattr(fitted, "numClasses") else F.col("rawCount")
+    # Weights of cells are numbers of rows, so the class counts add up to the rows of a node; a regression keeps their sum.
+    weights = _total("impurityStats") if hasattr(fitted, "numClasses") else F.get("impurityStats", F.lit(0))
+    count = weights.cast("bigint") if bins is not None else F.col("rawCount")
     if bins is not None:
         # Of bin numbers: the last value of the last bin that goes left.
         ends = F.lit([[math.nextafter(x, -math.inf) for x in splits[1:]] for splits in bins])

@@ -1,12 +1,13 @@
-"""Boosting on binned cells."""
+"""Boosting and forests of values on binned cells."""
 
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
-from starloom.mining import bundle, cells, supervised
+from starloom.mining import bundle, cells, forests, supervised, trees
 from starloom.session import scratch
 
 RNG = np.random.default_rng(11)
@@ -64,3 +65,70 @@ def test_thresholds_of_features(spark):
     assert few == [0.5, 1.5] and one == [] and len(many) == 31
     out = cells.bucketizer(["few", "one"], [few, one]).transform(spark.createDataFrame([(0.5, 1.0), (0.6, 1.0), (9.0, 5.0)], "few double, one double"))
     assert [(r["_bin_few"], r["_bin_one"]) for r in out.collect()] == [(0.0, 0.0), (1.0, 0.0), (2.0, 0.0)]
+
+
+def small_forest(**params):
+    forest = supervised.regressors(1, 1.0, ["Random Forest"])["Random Forest"]
+    return forest.copy({forest.getParam(k): v for k, v in {"numTrees": 6, "maxDepth": 5, **params}.items()})
+
+
+def test_draws_of_the_rows_of_a_cell(spark, task):
+    """Every row counts: weights are Poisson numbers of the rows, and means those of drawn labels; the layout does not matter."""
+    rows = spark.range(40_000).select((F.col("id") % 20).cast("int").alias("_bin_a"), ((F.col("id") * 7) % 40_000 / 40_000).alias("y"))
+    drawn = lambda df: sorted(tuple(r) for r in forests.drawn_rows(df, ["_bin_a"], "y", 50, 42, 4).collect())
+    found = drawn(rows)
+    assert len(found) == 20 and drawn(rows.repartition(7)) == found  # 2,000 rows a cell, so cells go on over batches of 10,000
+    weights, means = np.array([r[1:51] for r in found]), np.array([r[51:] for r in found])
+    assert weights.mean() == pytest.approx(2000, abs=6) and weights.var() == pytest.approx(2000, rel=0.2)
+    plain = {r[0]: r[1] for r in rows.groupBy("_bin_a").agg(F.avg("y")).collect()}
+    errors = means - np.array([plain[r[0]] for r in found])[:, None]
+    assert np.abs(errors).mean() > 0 and errors.std() == pytest.approx((1 / 12 / 2000) ** 0.5, rel=0.2)  # a bootstrap's, not 0
+
+
+def test_large_forests_of_values_are_fitted_on_cells(spark, task):
+    """No fit sees more rows than there are cells; tree, importances and bundle agree with the forest on rows."""
+    few, many = supervised.fit_forest(task, small_forest()), supervised.fit_forest(task, small_forest(), most_rows=1000)
+    assert [type(s).__name__ for s in many.stages] == ["Bucketizer", "VectorAssembler", "RandomForestRegressionModel"]
+    assert many.stages[-1].getNumTrees == 6 and many.stages[-1].numFeatures == 3
+    a, b = ({r[0]: r[1] for r in m.transform(task.test).select("job_id", "prediction").collect()} for m in (few, many))
+    x, y = np.array([a[k] for k in sorted(a)]), np.array([b[k] for k in sorted(b)])
+    assert a.keys() == b.keys() and np.corrcoef(x, y)[0, 1] > 0.995 and np.abs(x - y).mean() < 0.02
+    table = trees.tree_table(many, task.features)
+    roots, n = [r.n for r in table.where("id = 0").collect()], task.train.count()
+    assert len(set(roots)) > 3 and all(abs(r - n) < 6 * n**0.5 for r in roots)
+    own = dict(zip(task.features, many.stages[-1].featureImportances.toArray(), strict=True))
+    assert {r.feature: r.importance for r in trees.table_importances(table).collect()} == pytest.approx({k: v for k, v in own.items() if v}, abs=1e-12)
+    path = scratch(spark)
+    bundle.save(path, many, bundle.about_task(task, "f"), spark)
+    again = bundle.load(path, spark).predict(task.test.select("job_id", *task.features, "salary_clean"))
+    kept = {r.job_id: r.predicted for r in again.collect()}
+    scored = supervised.value_predictions(task, {"f": many}).collect()
+    assert len(scored) == len(kept) and all(r.predicted_value == pytest.approx(kept[r.job_id], rel=1e-9) for r in scored)
+
+
+def test_trees_of_values_are_trees_on_the_drawn_rows(task):
+    """The same tree as the learner grows when it is given the cells with the draws of one tree as rows."""
+    fitted = supervised.fit_on_cells(task, small_forest(numTrees=2))
+    found = cells.cells(task.train, task.features, task.label)
+    drawn = forests.drawn_rows(found.bins.transform(task.train), found.names, task.label, 2, supervised.SEED, task.partitions)
+    assembler = VectorAssembler(inputCols=found.names, outputCol="features")
+    test = assembler.transform(found.bins.transform(task.test))
+    for i, tree in enumerate(fitted.stages[-1].trees):
+        rows = drawn.select("*", F.explode(F.sequence(F.lit(1), F.col(f"_draw_{i}").cast("int"))).alias("_")).where(f"_draw_{i} > 0")
+        plain = DecisionTreeRegressor(maxDepth=5, labelCol=f"_label_{i}").fit(assembler.transform(rows))
+        a, b = ([r.prediction for r in m.transform(test).orderBy("job_id").select("prediction").collect()] for m in (tree, plain))
+        assert tree.numNodes > 5 and len(a) > 400 and a == pytest.approx(b, abs=1e-9)
+
+
+def test_unlike_rows_take_a_few_trees_at_a_time(spark, monkeypatch):
+    """Where cells hold a few rows each, no fit of a large table keeps the draws of all trees beside each row."""
+    x = RNG.normal(size=(900, 3))
+    rows = [(i, *map(float, v), float(30_000 + 9_000 * v.sum())) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "job_id bigint, views double, applies double, work_X double, salary_clean double")
+    task, sizes, fit = supervised.regression_task(frame), [], RandomForestRegressor.fit
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda self, *a: sizes.append(self.getNumTrees()) or fit(self, *a))
+    model = supervised.fit_forest(task, small_forest(numTrees=24), most_rows=100)
+    assert sizes == [10, 10, 4] and model.stages[-1].getNumTrees == 24 and model.stages[-1].getMaxDepth() == 5
+    assert len({t.toDebugString for t in model.stages[-1].trees}) == 24
+    r2 = model.transform(task.test).agg(F.corr("prediction", task.label)).first()[0]
+    assert r2 > 0.8
