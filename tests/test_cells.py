@@ -132,3 +132,14 @@ def test_unlike_rows_take_a_few_trees_at_a_time(spark, monkeypatch):
     assert len({t.toDebugString for t in model.stages[-1].trees}) == 24
     r2 = model.transform(task.test).agg(F.corr("prediction", task.label)).first()[0]
     assert r2 > 0.8
+
+
+def test_a_model_on_bins_answers_once_for_equal_bins(task):
+    """The same predictions as row by row, repeated rows and keys included; the forest is asked for the bins that occur only."""
+    model = supervised.fit_forest(task, small_forest(), most_rows=1000)
+    rows = task.test.unionByName(task.test)
+    found = supervised.scored(model, rows)
+    a, b = (sorted((r[0], r[1]) for r in d.select("job_id", "prediction").collect()) for d in (found, model.transform(rows)))
+    assert len(a) > 1000 and a == b
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "UDF(features" not in plan  # answers are read from a stored table that is as large as the model's bins allow
